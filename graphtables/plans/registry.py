@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from graphtables.plans import expressions, mutations, scans
+from graphtables.plans import (
+    exports,
+    expressions,
+    mutations,
+    scans,
+    statements,
+    streams,
+    traversals,
+)
 
-GROUPS = (scans, expressions, mutations)
+GROUPS = (scans, expressions, mutations, statements, traversals, exports, streams)
 
 
 def queries() -> dict:
