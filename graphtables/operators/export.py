@@ -50,7 +50,8 @@ def graph_triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Each edge with the properties at both ends; null at an end that has no vertex.
 
     The edges are the left side of both joins, so that adaptive execution can split the rows of
-    a vertex with very many edges. ``vertices`` holds one row per id.
+    a vertex with very many edges. It does so when both sides are shuffled for the join alone:
+    ``vertices`` is a table with one row per id (write it out first if it is an aggregate).
     """
     out = edges
     for end in ("src", "dst"):

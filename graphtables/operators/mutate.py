@@ -28,6 +28,7 @@ from graphtables.model import (
     require_columns,
     spark_type,
 )
+from graphtables.session import materialize
 from graphtables.sources.scan import scan
 
 REASON = "reason"
@@ -264,7 +265,9 @@ def mutate_vertices(
     """
     if write.mode == "delete":
         keyed, _ = keyed_vertices(changes, None, write, space.vid_type)
-        gone = _keys(keyed.filter(F.col(_REASON).isNull()), VERTEX_KEY)
+        # The ids meet every table of the space, so they are worked out once. Read back, they are
+        # of known size and lie under no aggregation, which would keep Spark from splitting hubs.
+        gone = materialize(_keys(keyed.filter(F.col(_REASON).isNull()), VERTEX_KEY), "gone")
         tables = {
             (VERTEX, name): delete(scan(space, VERTEX, name), gone, VERTEX_KEY)
             for name in space.names(VERTEX)

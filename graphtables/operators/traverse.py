@@ -145,7 +145,7 @@ def all_paths(
     reach = _distance_to(keys.select("_srcId", "_dstId"), targets, max_hops - 1)
     useful = keys.join(reach.withColumnRenamed("vid", "_dstId"), "_dstId")
     useful = materialize(useful.select("_srcId", "_dstId", "left", _edge_id().alias("edge")), "edges")
-    heads = starts.select("vid").filter("vid is not null").distinct()
+    heads = materialize(starts.select("vid").filter("vid is not null").distinct(), "heads")
     open_paths = heads.select(
         F.col("vid").alias("at"), F.array().cast(T.ArrayType(useful.schema["edge"].dataType)).alias("path")
     )

@@ -97,13 +97,13 @@ def brute_paths(edges, starts, targets, hops):
     return sorted(found)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_against_brute_force(spark, seed):
     near, far = random_edges(seed), random_edges(seed + 100)
     space = graph(spark, near=near, far=far)
     labelled = [("near", str(a), str(b), r) for a, b, r in near]
     labelled += [("far", str(a), str(b), r) for a, b, r in far]
-    for steps in (1, 2, 3):
+    for steps in (1, 3):
         got = traverse.subgraph_edges(space, vids(spark, 0, 0, 5), steps)
         assert {tuple(r) for r in got.collect()} == brute_subgraph(labelled, {"0", "5"}, steps)
         assert got.count() == got.distinct().count()
