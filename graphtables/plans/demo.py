@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphtables.model import EDGE, EDGE_KEY, INT, VERTEX, Label, Space
+from graphtables.model import EDGE, INT, VERTEX, Label, Space
 from graphtables.operators.mutate import latest_per_key
+from graphtables.session import materialize
 
 TAGS = {
     "region": {"r_name": "STRING"},
@@ -96,10 +97,12 @@ def _placed(spark, sf_dir) -> DataFrame:
 
 
 def _contains(spark, sf_dir) -> DataFrame:
-    feed = contains_feed(spark, sf_dir)
-    cols = [*EDGES["contains"], "l_suppkey"]
-    lines = _edges(feed, F.col("order_id"), F.col("part_id"), F.col("l_linenumber"), cols)
-    return latest_per_key(lines, EDGE_KEY, CONTAINS_ORDER).drop("l_suppkey")
+    ids = ["l_orderkey", "l_partkey", "l_linenumber"]
+    props = EDGES["contains"]
+    lines = table(spark, sf_dir, "lineitem").select(*ids, *props, "l_suppkey")
+    latest = latest_per_key(lines, ids, CONTAINS_ORDER)
+    src, dst = prefixed("o", "l_orderkey"), prefixed("p", "l_partkey")
+    return _edges(latest, src, dst, F.col("l_linenumber"), props)
 
 
 def _supplied_by(spark, sf_dir) -> DataFrame:
@@ -152,6 +155,17 @@ def demo_space(spark: SparkSession, sf_dir: str, *names: str) -> Space:
     return space
 
 
+def settled(space: Space, *names: str) -> Space:
+    """The space with the named edge labels written out, as a stored graph has them.
+
+    They are derived from the order lines, and a traversal reads its edges at every hop.
+    """
+    for name in names:
+        label = space.label(EDGE, name)
+        space = space.with_table(label, materialize(space.frame(EDGE, name), name))
+    return space
+
+
 def int_space(spark: SparkSession, sf_dir: str) -> Space:
     """Customers and what they placed, with integer ids: a space of its own per id range."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

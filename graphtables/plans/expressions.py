@@ -78,7 +78,7 @@ def vid_expr(spark, sf_dir):
         "c_custkey",
         G.vid_text(vid, None, STRING).alias("as_text"),
         G.vid_text(F.col("c_custkey"), None, INT).alias("as_integer"),
-        G.vid_text(vid, None, INT).alias("no_integer"),
+        G.vid_text(vid, None, INT).isNull().alias("refused"),
         G.vid_text(vid, "hash", STRING).alias("hashed"),
     )
 
@@ -101,7 +101,7 @@ def rank_expr(spark, sf_dir):
         "event_id",
         G.rank_value(F.concat(F.lit("-"), "event_id")).alias("from_text"),
         G.rank_value(F.col("user_id")).alias("from_long"),
-        G.rank_value(F.col("props")).alias("no_rank"),
+        G.rank_value(F.col("props")).isNull().alias("refused"),
         G.rank_value(None).alias("not_given"),
     )
 
@@ -178,13 +178,13 @@ ORACLE = {
     " UNION ALL SELECT 'page', page_id, 0, html FROM pages"
     " UNION ALL SELECT 'turn', conv_id, turn, text FROM conversations)",
     "vid_expr": f"SELECT c_custkey, '\"' || {sql_escape(f'({_VID})')} || '\"' AS as_text,"
-    " c_custkey::VARCHAR AS as_integer, NULL::VARCHAR AS no_integer,"
+    " c_custkey::VARCHAR AS as_integer, true AS refused,"
     f" 'hash(\"' || {_VID} || '\")' AS hashed FROM customer",
     "vid_hash_policy": "SELECT o_orderkey, " + sql.hash60("'o' || o_orderkey") + " AS vid FROM orders",
     "vid_uuid_policy": f"SELECT o_orderkey, {_UUID} AS vid FROM"
     " (SELECT o_orderkey, md5('o' || o_orderkey) AS m FROM orders)",
     "rank_expr": "SELECT event_id, -event_id AS from_text, user_id AS from_long,"
-    " NULL::BIGINT AS no_rank, 0::BIGINT AS not_given FROM events",
+    " true AS refused, 0::BIGINT AS not_given FROM events",
     "vid_as_prop": "SELECT c_custkey::VARCHAR AS _vertexId, c_custkey, c_name FROM customer",
     "edge_as_prop": "SELECT _srcId, _dstId, _rank, _srcId AS order_id, _rank AS l_linenumber,"
     f" l_quantity FROM ({sql.edge('contains', ['l_quantity'])})",

@@ -174,7 +174,7 @@ def _profile_sql() -> str:
         for name, props in props_of.items():
             for p, t in (props or {None: None}).items():
                 prop = f"'{p}'" if p else "NULL"
-                nulls = f"count(*) - count({p})" if p else "NULL"
+                nulls = f"count(*) - count({p})" if p else "0"
                 parts.append(
                     f"SELECT '{kind}' AS kind, '{name}' AS label, {prop}::VARCHAR AS property,"
                     f" {repr(t) if t else 'NULL'}::VARCHAR AS property_type, count(*) AS n_rows,"

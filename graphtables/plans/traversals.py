@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from graphtables.model import EDGE
 from graphtables.operators import traverse
 from graphtables.plans import sql
-from graphtables.plans.demo import contains_feed, demo_space, table
+from graphtables.plans.demo import contains_feed, demo_space, settled, table
 from graphtables.sources.scan import scan_vertices
 
 AROUND = ["in_region", "in_nation", "placed", "supplied_by"]
@@ -58,7 +58,7 @@ def fetch_edges(spark, sf_dir):
 
 def subgraph_edges(spark, sf_dir):
     """Three steps from all regions: nations, then customers and suppliers, then what they touch."""
-    space = demo_space(spark, sf_dir, "region", *AROUND)
+    space = settled(demo_space(spark, sf_dir, "region", *AROUND), "supplied_by")
     return traverse.subgraph_edges(space, _vids(space, "region"), 3, AROUND)
 
 
@@ -73,7 +73,7 @@ def subgraph_edges_with_props(spark, sf_dir):
 def all_paths_edges(spark, sf_dir):
     """The edges of all paths from a customer to a part, one row per edge and path."""
     labels = ["placed", "contains"]
-    space = demo_space(spark, sf_dir, "customer", "part", *labels)
+    space = settled(demo_space(spark, sf_dir, "customer", "part", *labels), "contains")
     paths = traverse.all_paths(space, _vids(space, "customer"), _vids(space, "part"), 2, labels)
     return traverse.path_edges(paths)
 
@@ -81,7 +81,7 @@ def all_paths_edges(spark, sf_dir):
 def all_paths_edges_three_hops(spark, sf_dir):
     """The paths from a part over supplier and nation to a region, as text."""
     labels = ["supplied_by", "in_nation", "in_region"]
-    space = demo_space(spark, sf_dir, "part", "region", *labels)
+    space = settled(demo_space(spark, sf_dir, "part", "region", *labels), "supplied_by")
     paths = traverse.all_paths(space, _vids(space, "part"), _vids(space, "region"), 3, labels)
     ends = F.transform("path", lambda e: e["_dstId"])
     return paths.select(

@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not sc.master.startswith("local"):

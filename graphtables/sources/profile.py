@@ -36,7 +36,7 @@ def label_profile(space: Space) -> DataFrame:
             F.struct(
                 F.lit(None).cast("string").alias("property"),
                 F.lit(None).cast("string").alias("property_type"),
-                F.lit(None).cast("bigint").alias("n_nulls"),
+                F.lit(0).cast("bigint").alias("n_nulls"),
             )
         ]
         profiles.append(
