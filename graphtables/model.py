@@ -102,6 +102,8 @@ class Space:
     n_parts: int = 10
     labels: dict[tuple[str, str], Label] = field(default_factory=dict)
     frames: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
+    # The tables that hold their properties as a scan returns them.
+    as_read: frozenset[tuple[str, str]] = frozenset()
 
     def __post_init__(self):
         if not self.name or not self.name.strip():
@@ -111,15 +113,22 @@ class Space:
         if self.n_parts <= 0:
             raise ValueError("part count must be positive")
 
-    def with_table(self, label: Label, df: DataFrame) -> Space:
-        """A copy of the space that holds ``df`` as the table of ``label``."""
+    def with_table(self, label: Label, df: DataFrame, as_read: bool = False) -> Space:
+        """A copy of the space that holds ``df`` as the table of ``label``.
+
+        ``as_read`` says that ``df`` came out of a scan or a mutation. Its columns are then
+        returned as they are, so that filters on dates and times reach the files too.
+        """
         missing = [k for k in label.key if k not in df.columns]
         missing += [p for p in label.props if p not in df.columns]
         if missing:
             raise ValueError(f"table of {label.kind} {label.name} lacks columns {missing}")
         key = (label.kind, label.name)
         return replace(
-            self, labels={**self.labels, key: label}, frames={**self.frames, key: df}
+            self,
+            labels={**self.labels, key: label},
+            frames={**self.frames, key: df},
+            as_read=self.as_read | {key} if as_read else self.as_read - {key},
         )
 
     def label(self, kind: str, name: str) -> Label:

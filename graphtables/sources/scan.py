@@ -13,11 +13,14 @@ def scan(space: Space, kind: str, label: str, cols=(), no_column: bool = False)
     """One row per vertex or edge. A plain projection, so Catalyst prunes and pushes down."""
     described = space.label(kind, label)
     df = space.frame(kind, label)
+    names = described.selected(cols, no_column)
+    if (kind, label) in space.as_read:
+        return df.select(*described.key, *names)
     held = {f.name: f.dataType for f in df.schema.fields}
     ids = [F.col(k).cast("bigint" if k == "_rank" else "string").alias(k) for k in described.key]
     props = [
         read_property(F.col(c), described.prop_type(c), held[c]).alias(c)
-        for c in described.selected(cols, no_column)
+        for c in names
     ]
     return df.select(*ids, *props)
 

@@ -74,7 +74,8 @@ class Store:
     def write(self, tables: dict[tuple[str, str], DataFrame], folded=None) -> Version:
         """Write the given label tables and switch to a version that holds them.
 
-        Labels that are not given keep the directory they have.
+        The tables come out of a scan or a mutation. Labels that are not given keep the directory
+        they have.
         """
         old = self.current()
         entries = dict(old.tables)
@@ -98,7 +99,7 @@ class Store:
             kind, name = key.split("/", 1)
             schema = StructType.fromJson(json.loads(entry["schema"]))
             df = self.spark.read.schema(schema).parquet(entry["path"])
-            space = space.with_table(Label(name, kind, entry["props"]), df)
+            space = space.with_table(Label(name, kind, entry["props"]), df, as_read=True)
         return space
 
     def save_space(self, space: Space) -> Version:

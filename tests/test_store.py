@@ -103,6 +103,19 @@ def test_save_with_options(spark, store):
             save(store, edges, {**edge_options, **wrong})
 
 
+def test_stored_dates_can_be_filtered_in_the_files(spark, tmp_path, int_graph):
+    store = Store(spark, str(tmp_path / "people"), int_graph)
+    store.save_space(int_graph)
+    people = scan(store.read(), VERTEX, "person")
+    assert rows(people) == rows(scan(int_graph, VERTEX, "person"))
+    late = people.filter("col8 >= '2021-01-12T00:00:00.000'").select("_vertexId")
+    text = late._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(col8,2021-01-12T00:00:00.000)" in text
+    assert late.count() == 6
+    ids = people.filter("_vertexId = '3'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(_vertexId,3)" in ids
+
+
 def test_write_options():
     how = write_options(
         {
