@@ -144,24 +144,26 @@ def all_paths(
     keys = edge_keys(space, labels).select(*LABELLED_KEY)
     reach = _distance_to(keys.select("_srcId", "_dstId"), targets, max_hops - 1)
     useful = keys.join(reach.withColumnRenamed("vid", "_dstId"), "_dstId")
-    useful = materialize(useful.select("_srcId", "_dstId", "left", _edge_id().alias("edge")), "edges")
+    useful = materialize(useful.select("left", _edge_id().alias("edge")), "edges")
     heads = materialize(starts.select("vid").filter("vid is not null").distinct(), "heads")
     open_paths = heads.select(
         F.col("vid").alias("at"), F.array().cast(T.ArrayType(useful.schema["edge"].dataType)).alias("path")
     )
     found = []
+    # The longest paths are left to the caller's own job: no later hop reads them.
     for hop in range(1, max_hops + 1):
-        step = useful.filter(F.col("left") <= max_hops - hop).withColumnRenamed("_srcId", "at")
+        step = useful.filter(F.col("left") <= max_hops - hop).withColumn("at", F.col("edge._srcId"))
         longer = (
             open_paths.join(step, "at")
             .filter(~F.array_contains("path", F.col("edge")))
             .select(
-                F.col("_dstId").alias("at"),
+                F.col("edge._dstId").alias("at"),
                 (F.col("left") == 0).alias("there"),
                 F.array_append("path", F.col("edge")).alias("path"),
             )
         )
-        longer = materialize(longer, f"paths{hop}")
+        if hop < max_hops:
+            longer = materialize(longer, f"paths{hop}")
         found.append(longer.filter("there").select("path"))
         if hop < max_hops and longer.isEmpty():
             break
@@ -213,10 +215,9 @@ def flatten_edges(results: DataFrame, label: Label, cols=()) -> DataFrame:
         raise ValueError("results have no edge columns")
     empty = F.array().cast(T.ArrayType(EDGE_STRUCT))
     cells = F.concat(*[F.coalesce(cell.cast(T.ArrayType(EDGE_STRUCT)), empty) for cell in lists])
-    # The label is checked inside the array, so that other edges are never exploded into rows.
-    kept = F.filter(cells, lambda e: e.isNotNull() & (e["label"] == label.name))
-    edge = results.select(F.explode(kept).alias("e"))
-    return edge.select(
+    # Exploding and filtering stay in one generated stage; a filter on the array would not.
+    edge = results.select(F.explode(cells).alias("e"))
+    return edge.filter(F.col("e.label") == label.name).select(
         F.col("e.src").alias("_srcId"),
         F.col("e.dst").alias("_dstId"),
         F.col("e.rank").alias("_rank"),

@@ -1,6 +1,6 @@
 import pytest
 
-from graphtables.model import EDGE, EdgeWrite, Label, Space
+from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space
 from graphtables.operators.mutate import mutate_edges
 from graphtables.sources.scan import scan, scan_edges
 from graphtables.sources.store import Store
@@ -89,3 +89,15 @@ def test_stream_scan(spark, space, tmp_path):
     assert rows(spark.read.schema(stream.schema).parquet(out)) == rows(scan_edges(space, "link", ["note"]))
     with pytest.raises(ValueError):
         stream_vertices(spark, folder, LINK)
+
+
+def test_stream_of_vertices_as_files_hold_them(spark, tmp_path):
+    tag = Label("day", VERTEX, {"at": "DATETIME", "n": "INT8"})
+    folder = str(tmp_path / "days")
+    held = spark.sql("SELECT 'a' AS _vertexId, timestamp'2021-01-01 12:00:00' AS at, 1 AS n")
+    held.write.parquet(folder)
+    stream = stream_vertices(spark, folder, tag, ["at"], schema=held.schema, files_per_batch=1)
+    query = stream.writeStream.format("memory").queryName("days").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.table("days")) == [("a", "2021-01-01T12:00:00.000")]
+    assert stream_vertices(spark, folder, tag, no_column=True, schema=held.schema).columns == ["_vertexId"]
