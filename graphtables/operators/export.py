@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graphtables.functions import hash_id, is_integer_text
 from graphtables.model import EDGE, VERTEX, Space
+from graphtables.session import join_side, size_of
 from graphtables.sources.scan import scan_edges, scan_vertices
 
 
@@ -53,8 +54,9 @@ def graph_triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     a vertex with very many edges. It does so when both sides are shuffled for the join alone:
     ``vertices`` is a table with one row per id (write it out first if it is an aggregate).
     """
+    size = size_of(vertices)
     out = edges
     for end in ("src", "dst"):
         ends = vertices.select(F.col("id").alias(end), F.col("props").alias(f"{end}_props"))
-        out = out.join(ends, end, "left")
+        out = out.join(join_side(ends, size), end, "left")
     return out.select("src", "dst", "attr", "src_props", "dst_props")

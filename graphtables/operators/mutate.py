@@ -1,9 +1,11 @@
 """Mutations as DataFrame functions: (label table, change rows) -> (new table, rejected rows).
 
 Keys are unique in a label table and are made unique in the changes first, so the joins on a
-whole key cannot be skewed. Only a cascading delete joins on one end of an edge; there the edge
+whole key cannot be skewed. The changes are shuffled once for that; the join with the label table
+and the rows that are added read the same shuffle. Only a cascading delete joins on one end of an edge; there the edge
 table is the left side of the anti join, which adaptive execution splits when one vertex holds
-very many edges. No side is broadcast by hint: Catalyst does so when it knows the side is small.
+very many edges. The changes are measured first (rows, then ids if the rows are few): few are broadcast,
+so that the label table is not shuffled, and many are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from graphtables.model import (
     require_columns,
     spark_type,
 )
-from graphtables.session import materialize
+from graphtables.session import join_side, materialize, size_of
 from graphtables.sources.scan import scan
 
 REASON = "reason"
@@ -166,10 +168,17 @@ def rejected(keyed: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+def _good(keyed: DataFrame, key: list[str]) -> DataFrame:
+    """The rows without a reason. Their keys are never null, but saying so keeps Spark from adding
+    the same filter to one use of the changes only, which would shuffle them once per use."""
+    good = keyed.filter(F.col(_REASON).isNull())
+    return good.filter(" AND ".join(f"{k} IS NOT NULL" for k in key))
+
+
 def accepted(keyed: DataFrame, key: list[str], props: list[str], write) -> DataFrame:
     """The good rows, one per key: the last one, or the first for an insert-if-absent."""
     order = [f"_order_{i}" for i in range(len(write.order_by))]
-    good = keyed.filter(F.col(_REASON).isNull()).select(*key, *props, *order)
+    good = _good(keyed, key).select(*key, *props, *order)
     first = write.mode == "insert" and not write.overwrite
     return latest_per_key(good, key, order, first).select(*key, *props)
 
@@ -187,37 +196,33 @@ def _complete(changes: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def _keys(changes: DataFrame, key: list[str]) -> DataFrame:
-    """The keys of the changes, once each: a narrow side for a join with the label table."""
-    return changes.select(*key).distinct()
-
-
-def upsert(current: DataFrame, changes: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
-    """Whole rows replaced or added."""
-    kept = current.join(keys, key, "left_anti")
+def upsert(current: DataFrame, changes: DataFrame, key: list[str], size: int) -> DataFrame:
+    """Whole rows replaced or added. ``size`` bounds the bytes of the changes."""
+    kept = current.join(join_side(changes.select(*key), size), key, "left_anti")
     return kept.unionByName(_complete(changes, current))
 
 
-def _held(current: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
+def _held(current: DataFrame, keys: DataFrame, key: list[str], size: int) -> DataFrame:
     """Those of ``keys`` that the table holds. The table is the left side of the semi join, so
     it is not shuffled when the keys are few."""
-    return current.select(*key).join(keys, key, "left_semi")
+    return current.select(*key).join(join_side(keys, size), key, "left_semi")
 
 
-def insert_absent(
-    current: DataFrame, changes: DataFrame, keys: DataFrame, key: list[str]
-) -> DataFrame:
+def insert_absent(current: DataFrame, changes: DataFrame, key: list[str], size: int) -> DataFrame:
     """Rows added for keys the table does not hold yet."""
-    new = changes.join(_held(current, keys, key), key, "left_anti")
+    held = _held(current, changes.select(*key), key, size)
+    new = changes.join(join_side(held, size), key, "left_anti")
     return current.unionByName(_complete(new, current))
 
 
-def update(current: DataFrame, changes: DataFrame, key: list[str], props: list[str]) -> DataFrame:
+def update(
+    current: DataFrame, changes: DataFrame, key: list[str], props: list[str], size: int
+) -> DataFrame:
     """Only the given properties change; a null that is given is set."""
     hits = changes.select(
         *key, *[F.col(p).alias(f"_new_{p}") for p in props], F.lit(True).alias("_hit")
     )
-    return current.join(hits, key, "left").select(
+    return current.join(join_side(hits, size), key, "left").select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in props
@@ -227,30 +232,31 @@ def update(current: DataFrame, changes: DataFrame, key: list[str], props: list[s
     )
 
 
-def delete(current: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
-    return current.join(keys, key, "left_anti")
+def delete(current: DataFrame, keys: DataFrame, key: list[str], size: int) -> DataFrame:
+    return current.join(join_side(keys, size), key, "left_anti")
 
 
-def _missing(current: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
-    return keys.join(_held(current, keys, key), key, "left_anti").select(
+def _missing(current: DataFrame, keys: DataFrame, key: list[str], size: int) -> DataFrame:
+    held = _held(current, keys, key, size)
+    return keys.join(join_side(held, size), key, "left_anti").select(
         *[F.col(k).cast("string").alias(k) for k in key], F.lit("no_such_key").alias(REASON)
     )
 
 
 def _change(current, keyed, key, props, write) -> tuple[DataFrame, DataFrame]:
     rejects = rejected(keyed, key)
-    keys = _keys(keyed.filter(F.col(_REASON).isNull()), key)
+    # An update carries its properties into the join, any other change only its keys.
+    size = size_of(keyed, [*key, *(props if write.mode == "update" else [])])
+    if write.mode == "insert":
+        change = upsert if write.overwrite else insert_absent
+        return change(current, accepted(keyed, key, props, write), key, size), rejects
+    keys = _good(keyed, key).select(*key).distinct()
     if write.mode == "delete":
-        return delete(current, keys, key), rejects
-    good = accepted(keyed, key, props, write)
-    if write.mode == "update":
-        if not props:
-            raise ValueError("an update needs at least one property")
-        rejects = rejects.unionByName(_missing(current, keys, key))
-        return update(current, good, key, props), rejects
-    if write.overwrite:
-        return upsert(current, good, keys, key), rejects
-    return insert_absent(current, good, keys, key), rejects
+        return delete(current, keys, key, size), rejects
+    if not props:
+        raise ValueError("an update needs at least one property")
+    table = update(current, accepted(keyed, key, props, write), key, props, size)
+    return table, rejects.unionByName(_missing(current, keys, key, size))
 
 
 # --- entry points -----------------------------------------------------------------------------
@@ -265,16 +271,17 @@ def mutate_vertices(
     """
     if write.mode == "delete":
         keyed, _ = keyed_vertices(changes, None, write, space.vid_type)
-        # The ids meet every table of the space, so they are worked out once. Read back, they are
-        # of known size and lie under no aggregation, which would keep Spark from splitting hubs.
-        gone = materialize(_keys(keyed.filter(F.col(_REASON).isNull()), VERTEX_KEY), "gone")
+        # The ids meet every table of the space, so they are worked out once. Read back, they lie
+        # under no aggregation, which would keep Spark from splitting hubs.
+        gone = materialize(_good(keyed, VERTEX_KEY).select("_vertexId").distinct(), "gone")
+        size = size_of(gone)
         tables = {
-            (VERTEX, name): delete(scan(space, VERTEX, name), gone, VERTEX_KEY)
+            (VERTEX, name): delete(scan(space, VERTEX, name), gone, VERTEX_KEY, size)
             for name in space.names(VERTEX)
         }
         if write.delete_edge:
             for name in space.names(EDGE):
-                tables[(EDGE, name)] = drop_incident(scan(space, EDGE, name), gone)
+                tables[(EDGE, name)] = drop_incident(scan(space, EDGE, name), gone, size)
         return Mutation(tables, rejected(keyed, VERTEX_KEY))
     keyed, props = keyed_vertices(
         changes, space.label(VERTEX, label), write, space.vid_type
@@ -283,11 +290,12 @@ def mutate_vertices(
     return Mutation({(VERTEX, label): table}, rejects)
 
 
-def drop_incident(edges: DataFrame, vertices: DataFrame) -> DataFrame:
+def drop_incident(edges: DataFrame, vertices: DataFrame, size: int) -> DataFrame:
     """Edges without those that start or end at one of ``vertices`` (column ``_vertexId``)."""
     out = edges
     for end in ("_srcId", "_dstId"):
-        out = out.join(vertices.select(F.col("_vertexId").alias(end)), end, "left_anti")
+        gone = vertices.select(F.col("_vertexId").alias(end))
+        out = out.join(join_side(gone, size), end, "left_anti")
     return out.select(*edges.columns)
 
 

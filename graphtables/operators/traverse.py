@@ -1,20 +1,22 @@
 """Edge queries as joins: matches, fetches, n-step subgraphs, all paths, flattened results.
 
 The multi-hop queries work on keys alone and fetch properties at the end. Each hop is written
-to the shared folder and read back, which keeps the plan small, survives lost executors and
-tells the next join the size of the frontier: a small one is broadcast and the edges are not
-shuffled, a large one is joined by shuffle, where adaptive execution splits hub vertices.
+to the shared folder and read back, which keeps the plan small and survives lost executors. The
+frontier is measured: a small one is broadcast and the edges are not shuffled, a large one is
+joined by shuffle, where adaptive execution splits hub vertices.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphtables.functions import read_property
 from graphtables.model import EDGE, EDGE_KEY, Label, Space
-from graphtables.session import materialize
+from graphtables.session import is_small, join_side, materialize, measure, size_of
 from graphtables.sources.scan import edge_keys, scan_edges, scan_vertices
 
 LABELLED_KEY = ["label", *EDGE_KEY]
@@ -30,6 +32,11 @@ EDGE_STRUCT = T.StructType(
 )
 
 
+def _sized(df: DataFrame) -> DataFrame:
+    """``df`` as the right side of a join, broadcast only when it is measured to be small."""
+    return join_side(df, size_of(df))
+
+
 def match_vertices(space: Space, tag: str, cols=()) -> DataFrame:
     return scan_vertices(space, tag, cols)
 
@@ -44,12 +51,14 @@ def match_edges_from_tag(space: Space, label: str, tag: str, cols=()) -> DataFra
     """Edges of a label that start at a vertex of a tag."""
     heads = scan_vertices(space, tag, no_column=True).withColumnRenamed("_vertexId", "_srcId")
     df = scan_edges(space, label, cols)
-    return df.join(heads, "_srcId", "left_semi").select(*df.columns)
+    return df.join(_sized(heads), "_srcId", "left_semi").select(*df.columns)
 
 
 def fetch_edges(space: Space, label: str, keys: DataFrame, cols=()) -> DataFrame:
     """The edges whose source, target and rank are listed in ``keys``."""
-    return scan_edges(space, label, cols).join(keys.select(*EDGE_KEY).distinct(), EDGE_KEY, "left_semi")
+    keys = keys.select(*EDGE_KEY)
+    wanted = join_side(keys.distinct(), size_of(keys))
+    return scan_edges(space, label, cols).join(wanted, EDGE_KEY, "left_semi")
 
 
 def with_props(space: Space, label: str, keys: DataFrame, cols=()) -> DataFrame:
@@ -61,7 +70,7 @@ def with_props(space: Space, label: str, keys: DataFrame, cols=()) -> DataFrame:
     return wanted.join(df, EDGE_KEY).select(*df.columns)
 
 
-def _neighbours(edges: DataFrame, frontier: DataFrame) -> DataFrame:
+def _neighbours(edges: DataFrame, frontier: DataFrame, size: int) -> DataFrame:
     """The vertices one edge away from the frontier, in either direction.
 
     The edges are the left side of a semi join and the found ids are made distinct on the map
@@ -69,31 +78,34 @@ def _neighbours(edges: DataFrame, frontier: DataFrame) -> DataFrame:
     """
     sides = []
     for here, there in (("_srcId", "_dstId"), ("_dstId", "_srcId")):
-        at = frontier.select(F.col("vid").alias(here))
+        at = join_side(frontier.select(F.col("vid").alias(here)), size)
         found = edges.select(here, there).join(at, here, "left_semi")
         sides.append(found.select(F.col(there).alias("vid")))
     return sides[0].unionByName(sides[1]).distinct()
 
 
-def _reached(edges: DataFrame, starts: DataFrame, hops: int) -> list[DataFrame]:
-    """The vertices at distance 0, 1, .. ``hops``, one table each; ends early when none is new."""
-    spark = edges.sparkSession
-    levels = [materialize(starts.select("vid").filter("vid is not null").distinct(), "level0")]
+def _distinct_ids(df: DataFrame, name: str) -> DataFrame:
+    return materialize(df.select("vid").filter("vid is not null").distinct(), name)
+
+
+def _reached(edges: DataFrame, starts: DataFrame, hops: int) -> tuple[DataFrame, int]:
+    """The vertices at most ``hops`` away and a bound of their bytes; ends when none is new."""
+    levels = [_distinct_ids(starts, "level0")]
+    sizes = [measure(levels[0])]
     for hop in range(1, hops + 1):
         # An edge leads at most one level away, so only the last two levels can be met again.
-        known = levels[-1] if len(levels) == 1 else levels[-1].unionByName(levels[-2])
-        new = _neighbours(edges, levels[-1]).join(known, "vid", "left_anti")
+        known, known_size = _all_of(levels[-2:]), sum(size for _, size in sizes[-2:])
+        found = _neighbours(edges, levels[-1], sizes[-1][1])
+        new = found.join(join_side(known, known_size), "vid", "left_anti")
         levels.append(materialize(new, f"level{hop}"))
-        if levels[-1].isEmpty():
+        sizes.append(measure(levels[-1]))
+        if sizes[-1][0] == 0:
             break
-    return levels
+    return _all_of(levels), sum(size for _, size in sizes)
 
 
 def _all_of(levels: list[DataFrame]) -> DataFrame:
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+    return reduce(DataFrame.unionByName, levels)
 
 
 def subgraph_edges(space: Space, starts: DataFrame, steps: int, labels=None) -> DataFrame:
@@ -105,10 +117,11 @@ def subgraph_edges(space: Space, starts: DataFrame, steps: int, labels=None) ->
     if steps <= 0:
         raise ValueError("steps must be positive")
     edges = edge_keys(space, labels)
-    near = _all_of(_reached(edges, starts, steps - 1))
+    near, size = _reached(edges, starts, steps - 1)
     out = edges
     for end in ("_srcId", "_dstId"):
-        out = out.join(near.select(F.col("vid").alias(end), F.lit(True).alias(f"{end}_near")), end, "left")
+        side = near.select(F.col("vid").alias(end), F.lit(True).alias(f"{end}_near"))
+        out = out.join(join_side(side, size), end, "left")
     return out.filter(F.col("_srcId_near") | F.col("_dstId_near")).select(*LABELLED_KEY)
 
 
@@ -116,18 +129,21 @@ def _edge_id() -> Column:
     return F.struct(*[F.col(c).alias(c) for c in LABELLED_KEY])
 
 
-def _distance_to(edges: DataFrame, targets: DataFrame, hops: int) -> DataFrame:
-    """Vertices from which a target can be reached in at most ``hops`` steps, with the least."""
-    levels = [materialize(targets.select("vid").filter("vid is not null").distinct(), "target0")]
-    seen = levels[0]
+def _distance_to(edges: DataFrame, targets: DataFrame, hops: int) -> tuple[DataFrame, int]:
+    """Vertices from which a target can be reached in at most ``hops`` steps, with the least
+    number of steps, and a bound of their bytes."""
+    levels = [_distinct_ids(targets, "target0")]
+    sizes = [measure(levels[0])]
     for hop in range(1, hops + 1):
-        at = levels[-1].select(F.col("vid").alias("_dstId"))
+        at = join_side(levels[-1].select(F.col("vid").alias("_dstId")), sizes[-1][1])
         before = edges.join(at, "_dstId", "left_semi").select(F.col("_srcId").alias("vid")).distinct()
+        seen = join_side(_all_of(levels), sum(size for _, size in sizes))
         levels.append(materialize(before.join(seen, "vid", "left_anti"), f"target{hop}"))
-        if levels[-1].isEmpty():
+        sizes.append(measure(levels[-1]))
+        if sizes[-1][0] == 0:
             break
-        seen = seen.unionByName(levels[-1])
-    return _all_of([level.withColumn("left", F.lit(i)) for i, level in enumerate(levels)])
+    steps = [level.withColumn("left", F.lit(i)) for i, level in enumerate(levels)]
+    return _all_of(steps), sum(size for _, size in sizes)
 
 
 def all_paths(
@@ -142,10 +158,11 @@ def all_paths(
     if max_hops <= 0:
         raise ValueError("max_hops must be positive")
     keys = edge_keys(space, labels).select(*LABELLED_KEY)
-    reach = _distance_to(keys.select("_srcId", "_dstId"), targets, max_hops - 1)
-    useful = keys.join(reach.withColumnRenamed("vid", "_dstId"), "_dstId")
+    reach, size = _distance_to(keys.select("_srcId", "_dstId"), targets, max_hops - 1)
+    useful = keys.join(join_side(reach.withColumnRenamed("vid", "_dstId"), size), "_dstId")
     useful = materialize(useful.select("left", _edge_id().alias("edge")), "edges")
-    heads = materialize(starts.select("vid").filter("vid is not null").distinct(), "heads")
+    heads = _distinct_ids(starts, "heads")
+    edge_size, path_size = size_of(useful), size_of(heads)
     open_paths = heads.select(
         F.col("vid").alias("at"), F.array().cast(T.ArrayType(useful.schema["edge"].dataType)).alias("path")
     )
@@ -153,6 +170,10 @@ def all_paths(
     # The longest paths are left to the caller's own job: no later hop reads them.
     for hop in range(1, max_hops + 1):
         step = useful.filter(F.col("left") <= max_hops - hop).withColumn("at", F.col("edge._srcId"))
+        if is_small(useful.sparkSession, path_size):
+            open_paths = F.broadcast(open_paths)
+        else:
+            step = join_side(step, edge_size)
         longer = (
             open_paths.join(step, "at")
             .filter(~F.array_contains("path", F.col("edge")))
@@ -165,9 +186,11 @@ def all_paths(
         if hop < max_hops:
             longer = materialize(longer, f"paths{hop}")
         found.append(longer.filter("there").select("path"))
-        if hop < max_hops and longer.isEmpty():
-            break
-        open_paths = longer.select("at", "path")
+        if hop < max_hops:
+            open_paths = longer.select("at", "path")
+            path_size = size_of(open_paths)
+            if path_size == 0:
+                break
     return _all_of(found)
 
 

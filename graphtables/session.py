@@ -5,7 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# What a row takes in a broadcast besides the bytes of its values.
+ROW_BYTES = 48
 
 
 def session(app: str = "graphtables", master: str | None = None, **conf) -> SparkSession:
@@ -50,10 +56,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    This cuts the lineage of iterative work, survives lost executors, and gives the next join
-    the true size of the table, so that Catalyst picks a broadcast only when it is small.
+    This cuts the lineage of iterative work and survives lost executors.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def measure(df: DataFrame, cols=None) -> tuple[int, int]:
+    """Rows of ``df`` and an upper bound of the bytes that ``cols`` (all by default) take."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cols or df.columns]
+    width = reduce(lambda a, b: a + b, sizes, F.lit(ROW_BYTES)).cast("bigint")
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows, size
+
+
+def size_of(df: DataFrame, cols=None) -> int:
+    """A bound of the bytes of ``df``, found by its row count alone where that is large already."""
+    rows = df.count()
+    return measure(df, cols)[1] if is_small(df.sparkSession, rows * ROW_BYTES) else rows * ROW_BYTES
+
+
+def is_small(spark: SparkSession, size: int) -> bool:
+    """Whether ``size`` bytes are within what the session may broadcast."""
+    return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def join_side(df: DataFrame, size: int) -> DataFrame:
+    """``df`` as the right side of a join, given a measured bound of its size.
+
+    The size of a file says little about the rows that come out of it, so the choice is not left
+    to the estimate: a side is broadcast only when it was measured to be small, and any other is
+    joined by sorted shuffle, which adaptive execution can split when a key is hot.
+    """
+    return F.broadcast(df) if is_small(df.sparkSession, size) else df.hint("merge")

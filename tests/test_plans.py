@@ -9,7 +9,7 @@ from graphtables.operators.mutate import latest_per_key, mutate_edges, mutate_ve
 from graphtables.operators.traverse import _neighbours, match_edges_from_tag, subgraph_edges
 from graphtables.plans import registry
 from graphtables.plans.demo import demo_space
-from graphtables.session import materialize
+from graphtables.session import join_side, materialize, measure
 from graphtables.sources.scan import edge_keys, scan_edges, scan_vertices
 
 
@@ -91,7 +91,7 @@ def test_hub_is_split_in_a_traversal(spark, shuffled_joins):
     edges = materialize(edge_keys(hub_space(spark)), "edges")
     frontier = edges.select(F.col("_srcId").alias("vid")).distinct()
     frontier = materialize(frontier, "frontier")
-    found = _neighbours(edges, frontier)
+    found = _neighbours(edges, frontier, measure(frontier)[1])
     assert len(found.collect()) == 40_000
     assert "skew=true" in plan(found)
     met = subgraph_edges(hub_space(spark), frontier, 1)
@@ -120,6 +120,19 @@ def test_hub_is_split_in_triplets(spark, shuffled_joins):
     assert "skew=true" in plan(triplets)
 
 
+def test_a_side_is_broadcast_by_its_measured_size(spark):
+    # Compressed to next to nothing in the file, and far above the limit in memory.
+    wide = materialize(spark.range(0, 300_000, 1, 2).select(F.lit("same").alias("k")), "wide")
+    rows, size = measure(wide)
+    assert rows == 300_000 and size > 10 * 1024 * 1024
+    left = spark.range(10).selectExpr("cast(id as string) AS k")
+    assert "BroadcastHashJoin" not in plan(left.join(join_side(wide, size), "k", "left_semi"))
+    few = wide.limit(3)
+    rows, size = measure(few)
+    assert rows == 3 and "BroadcastHashJoin" in plan(left.join(join_side(few, size), "k", "left_semi"))
+    assert measure(wide.filter("false")) == (0, 0)
+
+
 def test_hot_key_in_the_changes(spark, shuffled_joins):
     """A third of all changes are for one key: one row of it per task is shuffled."""
     label = Label("e", EDGE, {"note": "STRING"})
