@@ -8,7 +8,7 @@ from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space, VertexWrite
 from graphtables.operators.mutate import mutate_edges, mutate_vertices
 from graphtables.plans import sql
 from graphtables.plans.demo import EDGES, TAGS, demo_space, int_space, table
-from graphtables.plans.typed import TYPED, typed_space, typed_sql
+from graphtables.plans.typed import typed_space, typed_sql
 from graphtables.session import scratch_path
 from graphtables.sources import profile
 from graphtables.sources.files import read_header_csv, read_json_lines

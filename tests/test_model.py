@@ -73,6 +73,13 @@ def test_required_names():
     assert EdgeWrite("a", "b", "").rank_field is None
 
 
+def test_as_read_is_kept_per_table(spark):
+    df = spark.createDataFrame([], PERSON.scan_schema())
+    held = Space("s").with_table(PERSON, df, as_read=True)
+    assert held.as_read == {("vertex", "person")}
+    assert held.with_table(PERSON, df).as_read == frozenset()
+
+
 def test_table_must_hold_its_label(spark):
     with pytest.raises(ValueError, match="lacks"):
         Space("s").with_table(PERSON, spark.createDataFrame([("1",)], "_vertexId string"))
