@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from graphtables.plans.registry import oracle_sql, queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
