@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphtables.llm import exact_dedup, mixing
+from graphtables.llm import exact_dedup, langid, mixing, quality, toxicity
 
-GROUPS = (exact_dedup, mixing)
+GROUPS = (langid, toxicity, exact_dedup, mixing, quality)
 
 
 def queries() -> dict:
