@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphtables.llm import exact_dedup, langid, mixing, quality, toxicity
+from graphtables.llm import decontaminate, exact_dedup, langid, mixing, near_dedup, quality, toxicity
 
-GROUPS = (langid, toxicity, exact_dedup, mixing, quality)
+GROUPS = (langid, decontaminate, toxicity, exact_dedup, mixing, near_dedup, quality)
 
 
 def queries() -> dict:
