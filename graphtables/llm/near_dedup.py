@@ -154,14 +154,12 @@ def _verify_blocks(similarity: float):
         sizes = np.array([len(s) for s in sets])
         two = side.max() > side.min()
         links = []
-        for i in range(len(ids)):
+        for i in np.flatnonzero(side == side.min()):
             others = np.flatnonzero((comp != comp[i]) & ((side != side[i]) if two else (np.arange(len(ids)) > i)))
             for j in others[check.open(signs[i], signs[others], sizes[i], sizes[others])]:
                 if comp[j] != comp[i] and check.similar(sets[i], sets[j]):
                     links.append((ids[i], ids[j]))
                     comp[comp == comp[j]] = comp[i]
-            if two and side[i] == side.max():
-                break
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return verify
