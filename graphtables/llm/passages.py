@@ -100,17 +100,18 @@ def repeated_passages(
     texts = packed(rows)
 
     open_spans = per_document(found.where("open"))
-    edges = texts.dropDuplicates(["id", "tag"]).join(open_spans, ["id", "tag"]).mapInPandas(
+    edges = texts.join(open_spans, ["id", "tag"]).mapInPandas(
         _edges(size), "id long, tag long, first long, edge long, check long, source long, target long"
     )
     edges = settled(edges, "edges")
     # an open region stands for all that equal it, so one edge may do if its region occurs again
     again = found.where("open AND again").select("id", "tag", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("first"))
     counted = edges.join(again.distinct().withColumn("again", F.lit(1)), ["id", "tag", "first"], "left")
+    place = F.struct("id", "tag", "first")
     repeated = counted.groupBy("edge", "check").agg(
         F.min("source").alias("source"), F.min("target").alias("target"),
-        F.count(F.lit(1)).alias("n"), F.max("again").alias("again"),
-    ).where("n > 1 OR again = 1")
+        F.min(place).alias("low"), F.max(place).alias("high"), F.max("again").alias("again"),
+    ).where("low != high OR again = 1")
     paths = compact(settled(repeated.select("edge", "check", "source", "target"), "repeated_edges"))
     # runs of steps of one path in one document, at source coordinates
     on_path = edges.select("id", "tag", "first", "edge", "check").join(paths, ["edge", "check"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphtables.llm import decontaminate, exact_dedup, langid, mixing, near_dedup, passages, quality, toxicity
+from graphtables.llm import decontaminate, exact_dedup, langid, mixing, near_dedup, passages, quality, suffixes, toxicity
 
-GROUPS = (langid, decontaminate, toxicity, exact_dedup, mixing, near_dedup, quality, passages)
+GROUPS = (langid, decontaminate, toxicity, exact_dedup, suffixes, mixing, near_dedup, quality, passages)
 
 
 def queries() -> dict:
