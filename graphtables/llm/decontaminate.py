@@ -144,30 +144,15 @@ def contamination(
     ``block_words`` words, each sent to the executors as a whole. Documents are never shuffled. Every block reads
     the texts twice: for the number of documents that hold each shingle, and for the join.
     """
-    rows = pick(docs, id=id_col, text=text_col)
-    items = pick(benchmark, item=item_id, text=item_text).select(
-        F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), "text"
-    )
-    words = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-words // (5 * block_words)))
-    blocks = settled(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))), "benchmark") if n_blocks > 1 else items
-
-    out, found = rows, []
-    for i in range(n_blocks):
-        part = blocks.where(F.col("block") == i).select("item", "text") if n_blocks > 1 else items
-        block = Windows([tuple(r) for r in part.distinct().collect()])
-        counts = np.zeros(len(block.shingles), np.int64)
-        counted = rows.select("text").mapInPandas(_count_shingles(block), "shingle long, docs long")
-        for r in counted.groupBy("shingle").agg(F.sum("docs").alias("docs")).toLocalIterator():
-            counts[r.shingle] = r.docs
-        block.order(counts)
-        out = out.withColumn(f"found_{i}", _matcher(block)(F.col("text")))
-        found.append(F.col(f"found_{i}"))
-    spans = F.array_sort(F.flatten(F.array(*[f["spans"] for f in found])))
-    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*[f["items"] for f in found]))))
+    found = matchers(docs, benchmark, text_col, item_id, item_text, block_words)
+    out = pick(docs, id=id_col, text=text_col)
+    out = out.select("id", *[match("text").alias(f"found_{i}") for i, match in enumerate(found)])
+    blocks = [F.col(f"found_{i}") for i in range(len(found))]
+    spans = F.array_sort(F.flatten(F.array(*[f["spans"] for f in blocks])))
+    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*[f["items"] for f in blocks]))))
     return out.select(
         F.col("id").alias(id_col),
-        found[0]["n_words"].alias("n_words"),
+        blocks[0]["n_words"].alias("n_words"),
         _covered(spans).alias("n_hit"),
         spans.alias("spans"),
         ids.alias("items"),
@@ -179,6 +164,35 @@ def contamination(
     )
 
 
+def matchers(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str, item_text: str, block_words: int) -> list:
+    """For each block of the benchmark a function of the text column: n_words, spans, items (see ``contamination``)."""
+    texts = pick(docs, text=text_col)
+    items = pick(benchmark, item=item_id, text=item_text).select(
+        F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), "text"
+    )
+    words = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-words // (5 * block_words)))
+    blocks = settled(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))), "benchmark")
+    found = []
+    for i in range(n_blocks):
+        block = Windows([tuple(r) for r in blocks.where(F.col("block") == i).select("item", "text").distinct().collect()])
+        counts = np.zeros(len(block.shingles), np.int64)
+        counted = texts.mapInPandas(_count_shingles(block), "shingle long, docs long")
+        for r in counted.groupBy("shingle").agg(F.sum("docs").alias("docs")).toLocalIterator():
+            counts[r.shingle] = r.docs
+        block.order(counts)
+        found.append(_matcher(block))
+    return found
+
+
+def is_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text"):
+    """Whether no window of the benchmark occurs in the text, as a column over ``docs``."""
+    clean = F.lit(True)
+    for match in matchers(docs, benchmark, text_col, item_id, item_text, BLOCK_WORDS):
+        clean = clean & (F.size(match(docs[text_col])["spans"]) == 0)
+    return clean
+
+
 def _matcher(block: Windows):
     def match(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:

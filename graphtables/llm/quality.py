@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int, max_passages: int)
     return Attention(np.concatenate(bags), bag, sample["y"].to_numpy(float))
 
 
-def quality(
+def scorer(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
@@ -181,16 +181,11 @@ def quality(
     held: int = 1,
     max_docs: int = 4000,
     max_passages: int = 48,
-) -> DataFrame:
-    """One row per row of ``docs``: id, held_out, score, predicted.
-
-    Rows whose crc32(id as text) mod ``folds`` is ``held`` are held out; the model is learned from a bounded
-    sample of the other labelled ones. A score is made of the text alone, all passages of it. Null
-    counts as empty, an empty text is one empty passage. Without any label the score is 0.5.
-    """
+):
+    """A function of the text column that gives its score, learned as ``quality`` says."""
     rows = pick(docs, id=id_col, text=text_col)
-    remainder = crc_of_id(F.col("id")) % folds
-    model = train(rows.where(remainder != held), pick(labels, id=label_id, y=label_col), max_docs, max_passages)
+    learn = rows.where(crc_of_id(F.col("id")) % folds != held)
+    model = train(learn, pick(labels, id=label_id, y=label_col), max_docs, max_passages)
 
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -200,8 +195,21 @@ def quality(
                 scores += list(model.score(bags)) if model else [0.5] * len(bags)
             yield pd.Series(scores, dtype="float64")
 
-    to_score = F.pandas_udf(predict, "double")
-    return rows.select("id", (remainder == held).alias("held_out"), to_score("text").alias("score")).select(
+    return F.pandas_udf(predict, "double")
+
+
+def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 3, held: int = 1, **more) -> DataFrame:
+    """One row per row of ``docs``: id, held_out, score, predicted.
+
+    Rows whose crc32(id as text) mod ``folds`` is ``held`` are held out; the model is learned from a bounded
+    sample (max_docs, max_passages) of the other labelled ones. A score is made of the text alone, all
+    passages of it. Null counts as empty, an empty text is one empty passage. Without any label the
+    score is 0.5. Repeated rows get a row each.
+    """
+    score = scorer(docs, labels, id_col, text_col, folds=folds, held=held, **more)
+    rows = pick(docs, id=id_col, text=text_col)
+    held_out = (crc_of_id(F.col("id")) % folds == held).alias("held_out")
+    return rows.select("id", held_out, score("text").alias("score")).select(
         F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
