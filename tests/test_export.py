@@ -6,8 +6,8 @@ from tests.fixtures import rows
 
 def test_vertices(int_graph):
     got = {r.id: r.props for r in export.export_vertices(int_graph, "person", ["col1", "col9"]).collect()}
-    assert len(got) == 18 and got[1] == ["person1", "1609502400"] and got[0] == [None, None]
-    assert -3 in got
+    assert len(got) == 18 and got[1] == ["person no. 1", "1057210803"] and got[0] == [None, None]
+    assert -9 in got
     bare = export.export_vertices(int_graph, "person", no_column=True)
     assert bare.filter("size(props) = 0").count() == 18
 
@@ -18,13 +18,13 @@ def test_edges(int_graph):
         "struct<src:bigint,dst:bigint,attr:struct<rank:bigint,props:array<string>>>"
     )
     first = df.filter("src = 1").first()
-    assert (first.dst, first.attr.rank, first.attr.props) == (2, 0, ["friend1", "true"])
+    assert (first.dst, first.attr.rank, first.attr.props) == (2, 0, ["friend no. 1", "false"])
 
 
 def test_text_ids_need_the_hash_policy(spark, int_graph):
     label = int_graph.label("vertex", "geo_shape")
     named = int_graph.with_table(
-        label, spark.createDataFrame([("x1", "POINT(1 2)")], "_vertexId string, geo string")
+        label, spark.createDataFrame([("x1", "POINT(3 3)")], "_vertexId string, geo string")
     )
     with pytest.raises(Exception, match="use the hash policy"):
         export.export_vertices(named, "geo_shape").collect()
@@ -37,9 +37,9 @@ def test_triplets(spark, int_graph):
     vertices = export.export_vertices(int_graph, "person", ["col1"]).filter("id <> 3")
     triplets = export.graph_triplets(vertices, export.export_edges(int_graph, "friend", ["col1"]))
     got = {(r.src, r.dst): (r.src_props, r.dst_props) for r in triplets.collect()}
-    assert len(got) == 12 and got[1, 2] == (["person1"], ["person2"])
+    assert len(got) == 12 and got[1, 2] == (["person no. 1"], ["person no. 2"])
     # An end that has no vertex is null, and the edge stays.
-    assert got[2, 3] == (["person2"], None) and got[3, 4] == (None, ["person4"])
+    assert got[2, 3] == (["person no. 2"], None) and got[3, 4] == (None, ["person no. 4"])
     assert rows(triplets.select("src", "dst")) == rows(
         export.export_edges(int_graph, "friend").select("src", "dst")
     )

@@ -239,47 +239,41 @@ def test_against_a_dictionary(spark, seed):
         assert rows(m.table(EDGE, "link")) == sorted(((*k, *v) for k, v in wanted.items()), key=repr)
 
 
-def persons_csv(path) -> None:
-    """Thirteen persons as a header CSV, names in two scripts, a line string with a comma."""
-    names = ["Tom", "Jina", "Tim", "张三", "李四", "王五", *["Jina"] * 7]
-    ids = [*range(1, 11), -1, -2, -3]
-    lines = [",".join(["id", *PERSON.props, "geo"])]
-    for n, (vid, name) in enumerate(zip(ids, names)):
-        lines.append(
-            f"{vid},{name},{name},{10 + n},{20 + n},{30 + n},{40 + n},2021-01-{10 + n},"
-            f"2021-01-{10 + n}T12:10:10,43535232,{'true' if n % 3 else 'false'},{1 + n / 10},"
-            f'{2 + n / 10},{10 + n}:10:10,"LINESTRING(1 3, 4.7 73.23)"'
-        )
-    path.write_text("\n".join(lines), encoding="utf-8")
+STATIONS = """id,col1,col2,col3,col4,col5,col6,col7,col8,col9,col10,col11,col12,col13,geo
+501,Øst,N1,3,250,41000,5100000000,1999-12-31,1999-12-31T23:59:59,946684799,true,0.5,0.25,06:15:00,POINT(9.5 55)
+502,Σκάλα,N2,8,-17,40,77,1972-02-29,1972-02-29T00:00:01,68169601,false,-3.75,12,23:00:07,"LINESTRING(1 1, 2.5 8, 4 4)"
+-4,"Bay, east",N3,-1,0,0,0,2010-06-15,2010-06-15T12:30:45,1276605045,true,1e3,7,00:00:00,"POLYGON((0 0, 6 0, 6 6, 0 0))"
+503,Pier,N4,8,1,2,3,2020-01-01,2020-01-01T01:01:01,1577840461,false,2.5,2.5,11:11:11,POINT(0 0)
+"""
 
 
 def test_csv_insert_then_delete(spark, tmp_path):
-    persons_csv(tmp_path / "vertex.csv")
-    feed = read_header_csv(spark, str(tmp_path / "vertex.csv"))
+    (tmp_path / "stations.csv").write_text(STATIONS, encoding="utf-8")
+    feed = read_header_csv(spark, str(tmp_path / "stations.csv"))
     person = Label("person", VERTEX, {**PERSON.props, "geo": "GEOGRAPHY"})
     friend = Label("friend", EDGE, FRIEND.props)
     empty = Space("w")
     for label in (person, friend):
         empty = empty.with_table(label, spark.createDataFrame([], label.scan_schema()))
-    m = mutate_vertices(empty, "person", feed, VertexWrite("id", batch=5))
+    m = mutate_vertices(empty, "person", feed, VertexWrite("id", batch=3))
     people = m.table(VERTEX, "person")
-    assert people.count() == 13 and m.rejects.isEmpty()
-    row = people.filter("_vertexId = '4'").first()
+    assert people.count() == 4 and m.rejects.isEmpty()
+    row = people.filter("_vertexId = '502'").first()
     assert (row.col1, row.col8, row.col9, row.geo) == (
-        "张三",
-        "2021-01-13T12:10:10.000",
-        43535232,
-        "LINESTRING(1 3, 4.7 73.23)",
+        "Σκάλα",
+        "1972-02-29T00:00:01.000",
+        68169601,
+        "LINESTRING(1 1, 2.5 8, 4 4)",
     )
-    # The edges: each person to the next, rank from a column that is a property as well.
-    links = feed.drop("geo").withColumnRenamed("id", "id1").withColumn("id2", F.lit("2"))
-    write = EdgeWrite("id1", "id2", "col3", rank_as_prop=True, batch=5)
+    # The edges: each station to one of them, rank from a column that is a property as well.
+    links = feed.drop("geo").withColumnRenamed("id", "id1").withColumn("id2", F.lit("503"))
+    write = EdgeWrite("id1", "id2", "col3", rank_as_prop=True, batch=3)
     filled = empty.with_table(person, people)
     m = mutate_edges(filled, "friend", links, write)
     edges = m.table(EDGE, "friend")
-    assert edges.count() == 13
+    assert edges.count() == 4
     filled = filled.with_table(friend, edges)
-    key = edges_frame(spark, [("1", "2", 10)])
+    key = edges_frame(spark, [("502", "503", 8)])
     assert fetch_edges(filled, "friend", key).count() == 1
     gone = mutate_vertices(filled, None, feed, VertexWrite("id", mode="delete", delete_edge=True))
     assert gone.table(VERTEX, "person").isEmpty() and gone.table(EDGE, "friend").isEmpty()

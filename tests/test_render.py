@@ -9,45 +9,49 @@ from graphtables.operators import render
 from tests.fixtures import rows
 
 PROPS = {
-    "col_string": "STRING",
-    "col_fixed_string": "FIXED_STRING",
-    "col_bool": "BOOL",
-    "col_int": "INT32",
-    "col_int64": "INT64",
-    "col_double": "DOUBLE",
-    "col_date": "DATE",
-    "col_geo": "GEOGRAPHY",
+    "title": "STRING",
+    "shelf": "FIXED_STRING",
+    "lent": "BOOL",
+    "pages": "INT32",
+    "ean": "INT64",
+    "price": "DOUBLE",
+    "printed": "DATE",
+    "place": "GEOGRAPHY",
 }
-PERSON = Label("person", VERTEX, PROPS)
-FRIEND = Label("friend", EDGE, PROPS)
-NAMES = (
-    "`col_string`,`col_fixed_string`,`col_bool`,`col_int`,`col_int64`,`col_double`,`col_date`,`col_geo`"
-)
+BOOK = Label("book", VERTEX, PROPS)
+CITES = Label("cites", EDGE, PROPS)
+NAMES = "`title`,`shelf`,`lent`,`pages`,`ean`,`price`,`printed`,`place`"
 SCHEMA = (
-    "col_string string, col_fixed_string string, col_bool boolean, col_int int, col_int64 bigint,"
-    " col_double double, col_date string, col_geo string"
+    "title string, shelf string, lent boolean, pages int, ean bigint,"
+    " price double, printed string, place string"
+)
+ATLAS = ("Atlas", "A7", False, 312, 9780000000019, 24.5, "1987-03-09", "POINT(12.5 -4)")
+FLORA = ("Flora", "B2", True, 77, 9780000000026, 8.25, "2002-10-30", "LINESTRING(0 0, 5 6, 7 7)")
+ATLAS_VALUES = (
+    '"Atlas", "A7", false, 312, 9780000000019, 24.5, date("1987-03-09"), ST_GeogFromText("POINT(12.5 -4)")'
+)
+FLORA_VALUES = (
+    '"Flora", "B2", true, 77, 9780000000026, 8.25, date("2002-10-30"),'
+    ' ST_GeogFromText("LINESTRING(0 0, 5 6, 7 7)")'
+)
+ATLAS_SET = (
+    '`title`="Atlas",`shelf`="A7",`lent`=false,`pages`=312,`ean`=9780000000019,`price`=24.5,'
+    '`printed`=date("1987-03-09"),`place`=ST_GeogFromText("POINT(12.5 -4)")'
+)
+FLORA_SET = (
+    '`title`="Flora",`shelf`="B2",`lent`=true,`pages`=77,`ean`=9780000000026,`price`=8.25,'
+    '`printed`=date("2002-10-30"),`place`=ST_GeogFromText("LINESTRING(0 0, 5 6, 7 7)")'
 )
-TOM = ("Tom", "Tom", True, 10, 100, 1.0, "2021-11-12", "POINT(3 8)")
-BOB = ("Bob", "Bob", False, 20, 200, 2.0, "2021-05-01", "LINESTRING(1 2, 3 4)")
-TOM_LITERALS = ['"Tom"', '"Tom"', "true", "10", "100", "1.0", 'date("2021-11-12")']
-TOM_LITERALS.append('ST_GeogFromText("POINT(3 8)")')
-BOB_LITERALS = ['"Bob"', '"Bob"', "false", "20", "200", "2.0", 'date("2021-05-01")']
-BOB_LITERALS.append('ST_GeogFromText("LINESTRING(1 2, 3 4)")')
-TOM_TEXT, BOB_TEXT = ", ".join(TOM_LITERALS), ", ".join(BOB_LITERALS)
-
-
-def assigned(literals: list[str]) -> str:
-    return ",".join(f"`{n}`={v}" for n, v in zip(PROPS, literals))
 
 
 @pytest.fixture(scope="module")
 def vertices(spark):
-    return spark.createDataFrame([("vid1", *TOM), ("vid2", *BOB)], f"id string, {SCHEMA}")
+    return spark.createDataFrame([("k20", *ATLAS), ("k31", *FLORA)], f"id string, {SCHEMA}")
 
 
 @pytest.fixture(scope="module")
 def edges(spark):
-    data = [("vid1", "vid2", 1, *TOM), ("vid2", "vid1", 2, *BOB)]
+    data = [("k20", "k31", 1, *ATLAS), ("k31", "k20", 2, *FLORA)]
     return spark.createDataFrame(data, f"a string, b string, r bigint, {SCHEMA}")
 
 
@@ -58,81 +62,78 @@ def only(df):
 
 
 def vertex(df, **how):
-    return only(render.render_vertices(df, PERSON, VertexWrite("id", **how), "STRING"))
+    return only(render.render_vertices(df, BOOK, VertexWrite("id", **how), "STRING"))
 
 
 def edge(df, *ids, **how):
-    return only(render.render_edges(df, FRIEND, EdgeWrite(*ids, **how), "STRING"))
+    return only(render.render_edges(df, CITES, EdgeWrite(*ids, **how), "STRING"))
 
 
 def test_insert_vertex(vertices):
-    values = f'"vid1": ({TOM_TEXT}), "vid2": ({BOB_TEXT})'
-    assert vertex(vertices) == f"INSERT vertex `person`({NAMES}) VALUES {values}"
+    values = f'"k20": ({ATLAS_VALUES}), "k31": ({FLORA_VALUES})'
+    assert vertex(vertices) == f"INSERT vertex `book`({NAMES}) VALUES {values}"
     assert vertex(vertices, overwrite=False) == (
-        f"INSERT vertex IF NOT EXISTS `person`({NAMES}) VALUES {values}"
+        f"INSERT vertex IF NOT EXISTS `book`({NAMES}) VALUES {values}"
     )
     assert vertex(vertices, policy="hash") == (
-        f'INSERT vertex `person`({NAMES}) VALUES hash("vid1"): ({TOM_TEXT}), hash("vid2"): ({BOB_TEXT})'
+        f'INSERT vertex `book`({NAMES}) VALUES hash("k20"): ({ATLAS_VALUES}), hash("k31"): ({FLORA_VALUES})'
     )
 
 
 def test_insert_edge(edges):
-    values = f'"vid1"->"vid2"@1: ({TOM_TEXT}), "vid2"->"vid1"@2: ({BOB_TEXT})'
-    assert edge(edges, "a", "b", "r") == f"INSERT edge `friend`({NAMES}) VALUES {values}"
+    values = f'"k20"->"k31"@1: ({ATLAS_VALUES}), "k31"->"k20"@2: ({FLORA_VALUES})'
+    assert edge(edges, "a", "b", "r") == f"INSERT edge `cites`({NAMES}) VALUES {values}"
     assert edge(edges, "a", "b", "r", overwrite=False) == (
-        f"INSERT edge IF NOT EXISTS `friend`({NAMES}) VALUES {values}"
+        f"INSERT edge IF NOT EXISTS `cites`({NAMES}) VALUES {values}"
     )
     assert edge(edges.drop("r"), "a", "b") == (
-        f'INSERT edge `friend`({NAMES}) VALUES "vid1"->"vid2": ({TOM_TEXT}), "vid2"->"vid1": ({BOB_TEXT})'
+        f'INSERT edge `cites`({NAMES}) VALUES "k20"->"k31": ({ATLAS_VALUES}), "k31"->"k20": ({FLORA_VALUES})'
     )
 
 
 def test_update_vertex(vertices):
-    tom, bob = assigned(TOM_LITERALS), assigned(BOB_LITERALS)
-    assert tom.startswith('`col_string`="Tom",`col_fixed_string`="Tom",`col_bool`=true,`col_int`=10,')
     assert vertex(vertices, mode="update") == (
-        f'UPDATE VERTEX ON `person` "vid1" SET {tom};UPDATE VERTEX ON `person` "vid2" SET {bob}'
+        f'UPDATE VERTEX ON `book` "k20" SET {ATLAS_SET};UPDATE VERTEX ON `book` "k31" SET {FLORA_SET}'
     )
     assert vertex(vertices, mode="update", policy="hash") == (
-        f'UPDATE VERTEX ON `person` hash("vid1") SET {tom};'
-        f'UPDATE VERTEX ON `person` hash("vid2") SET {bob}'
+        f'UPDATE VERTEX ON `book` hash("k20") SET {ATLAS_SET};'
+        f'UPDATE VERTEX ON `book` hash("k31") SET {FLORA_SET}'
     )
 
 
 def test_update_edge(edges):
-    tom, bob = assigned(TOM_LITERALS), assigned(BOB_LITERALS)
     assert edge(edges, "a", "b", "r", mode="update") == (
-        f'UPDATE EDGE ON `friend` "vid1"->"vid2"@1 SET {tom};'
-        f'UPDATE EDGE ON `friend` "vid2"->"vid1"@2 SET {bob}'
+        f'UPDATE EDGE ON `cites` "k20"->"k31"@1 SET {ATLAS_SET};'
+        f'UPDATE EDGE ON `cites` "k31"->"k20"@2 SET {FLORA_SET}'
     )
     both = {"src_policy": "hash", "dst_policy": "hash"}
     assert edge(edges, "a", "b", "r", mode="update", **both) == (
-        f'UPDATE EDGE ON `friend` hash("vid1")->hash("vid2")@1 SET {tom};'
-        f'UPDATE EDGE ON `friend` hash("vid2")->hash("vid1")@2 SET {bob}'
+        f'UPDATE EDGE ON `cites` hash("k20")->hash("k31")@1 SET {ATLAS_SET};'
+        f'UPDATE EDGE ON `cites` hash("k31")->hash("k20")@2 SET {FLORA_SET}'
     )
     assert "@0 SET" in edge(edges.drop("r"), "a", "b", mode="update")
 
 
 def test_delete_vertex(vertices):
-    assert vertex(vertices, mode="delete") == 'DELETE VERTEX "vid1","vid2"'
-    assert vertex(vertices, mode="delete", delete_edge=True) == 'DELETE VERTEX "vid1","vid2" WITH EDGE'
-    assert vertex(vertices, mode="delete", policy="hash") == 'DELETE VERTEX hash("vid1"),hash("vid2")'
+    assert vertex(vertices, mode="delete") == 'DELETE VERTEX "k20","k31"'
+    assert vertex(vertices, mode="delete", delete_edge=True) == 'DELETE VERTEX "k20","k31" WITH EDGE'
+    assert vertex(vertices, mode="delete", policy="hash") == 'DELETE VERTEX hash("k20"),hash("k31")'
     assert vertex(vertices, mode="delete", policy="hash", delete_edge=True) == (
-        'DELETE VERTEX hash("vid1"),hash("vid2") WITH EDGE'
+        'DELETE VERTEX hash("k20"),hash("k31") WITH EDGE'
     )
 
 
 def test_delete_edge(edges):
     ids = ("a", "b", "r")
-    assert edge(edges, *ids, mode="delete") == 'DELETE EDGE `friend` "vid1"->"vid2"@1,"vid2"->"vid1"@2'
+    assert edge(edges, *ids, mode="delete") == 'DELETE EDGE `cites` "k20"->"k31"@1,"k31"->"k20"@2'
     assert edge(edges, "a", "b", mode="delete") == (
-        'DELETE EDGE `friend` "vid1"->"vid2"@0,"vid2"->"vid1"@0'
+        'DELETE EDGE `cites` "k20"->"k31"@0,"k31"->"k20"@0'
     )
     assert edge(edges, *ids, mode="delete", src_policy="hash") == (
-        'DELETE EDGE `friend` hash("vid1")->"vid2"@1,hash("vid2")->"vid1"@2'
+        'DELETE EDGE `cites` hash("k20")->"k31"@1,hash("k31")->"k20"@2'
     )
     assert edge(edges, *ids, mode="delete", src_policy="hash", dst_policy="hash") == (
-        'DELETE EDGE `friend` hash("vid1")->hash("vid2")@1,hash("vid2")->hash("vid1")@2'
+        'DELETE EDGE `cites` hash("k20")->hash("k31")@1,hash("k31")->hash("k20")@2'
     )
 
 

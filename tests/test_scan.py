@@ -29,22 +29,22 @@ def test_values(int_graph):
     row = scan_vertices(int_graph, "person").filter("_vertexId = '1'").first().asDict()
     assert row == {
         "_vertexId": "1",
-        "col1": "person1",
-        "col2": "person1",
-        "col3": 11,
-        "col4": 200,
-        "col5": 1000,
-        "col6": 188888,
-        "col7": "2021-01-01",
-        "col8": "2021-01-01T12:00:00.000",
-        "col9": 1609502400,
-        "col10": True,
-        "col11": 1.0,
-        "col12": 2.0,
-        "col13": "12:01:01",
+        "col1": "person no. 1",
+        "col2": "p-007",
+        "col3": -35,
+        "col4": 1,
+        "col5": 70000,
+        "col6": 3000000001,
+        "col7": "1994-07-03",
+        "col8": "1994-07-03T05:40:03.125",
+        "col9": 1057210803,
+        "col10": False,
+        "col11": 0.25,
+        "col12": 0.125,
+        "col13": "01:30:59",
     }
     edge = scan_edges(int_graph, "friend", ["col8"]).filter("_srcId = '12'").first()
-    assert tuple(edge) == ("12", "1", 0, "2021-01-12T12:00:00.000")
+    assert tuple(edge) == ("12", "1", 0, "1994-07-14T05:40:36.125")
 
 
 def test_null_row(int_graph):
@@ -55,12 +55,12 @@ def test_null_row(int_graph):
 def test_geography_and_duration(int_graph):
     shapes = dict(map(tuple, scan_vertices(int_graph, "geo_shape").collect()))
     assert shapes == {
-        "100": "POINT(1 2)",
-        "101": "LINESTRING(1 2, 3 4)",
-        "102": "POLYGON((0 1, 1 2, 2 3, 0 1))",
+        "81": "POINT(-7.5 40)",
+        "82": "LINESTRING(0 0, 2 5, 9 1)",
+        "83": "POLYGON((0 0, 4 0, 4 3, 0 0))",
     }
     lasting = scan_vertices(int_graph, "tag_duration").collect()
-    assert [tuple(r) for r in lasting] == [("200", "duration({months:1, seconds:100, microseconds:20})")]
+    assert [tuple(r) for r in lasting] == [("90", "duration({months:7, seconds:42, microseconds:5})")]
 
 
 def test_scan_schema_is_what_comes_out(int_graph):
