@@ -7,11 +7,17 @@ from graphtables.functions.ids import (
     vid_key,
     vid_text,
 )
-from graphtables.functions.properties import property_literal, property_text, read_property
+from graphtables.functions.properties import (
+    fitting_property,
+    property_literal,
+    property_text,
+    read_property,
+)
 from graphtables.functions.text import escape_text, is_integer_text
 
 __all__ = [
     "escape_text",
+    "fitting_property",
     "hash_id",
     "is_integer_text",
     "property_literal",

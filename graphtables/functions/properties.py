@@ -21,6 +21,8 @@ LITERAL_FUNCTIONS = {
     "GEOGRAPHY": "ST_GeogFromText",
 }
 
+# Bits of the whole numbers.
+_INT_BITS = {"INT8": 8, "INT16": 16, "INT32": 32, "INT64": 64}
 _CLOCK = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _FORMS = {"DATE": DATE_FORM, "DATETIME": DATETIME_FORM, "TIME": TIME_FORM}
 
@@ -38,7 +40,7 @@ def read_property(value: Column, property_type: str, held_as: T.DataType) -> Col
             return F.coalesce(
                 value.try_cast("bigint"), F.unix_timestamp(value.try_cast("timestamp"))
             )
-        return value.cast("bigint")
+        return value.try_cast("bigint")
     if property_type in _FORMS:
         if isinstance(held_as, _CLOCK):
             return F.date_format(value, _FORMS[property_type])
@@ -49,9 +51,23 @@ def read_property(value: Column, property_type: str, held_as: T.DataType) -> Col
         return value.cast("string")
     if type(held_as) is type(target):
         return value
-    if isinstance(held_as, T.StringType):
-        return value.try_cast(target)
-    return value.cast(target)
+    return value.try_cast(target)
+
+
+def fitting_property(value: Column, property_type: str, held_as: T.DataType) -> Column:
+    """A property as it may be stored: null where the value does not fit its declared type.
+
+    Whole numbers must lie in the range of their type, and a number with a fraction is none.
+    """
+    read = read_property(value, property_type, held_as)
+    if property_type in _INT_BITS:
+        top = 2 ** (_INT_BITS[property_type] - 1)
+        read = F.when(read.between(-top, top - 1), read)
+    if isinstance(held_as, (T.FloatType, T.DoubleType, T.DecimalType)) and (
+        property_type in _INT_BITS or property_type == "TIMESTAMP"
+    ):
+        read = F.when(value == F.floor(value), read)
+    return read
 
 
 def property_text(value: Column, property_type: str, held_as: T.DataType) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphtables.functions import is_integer_text, rank_value, read_property, vid_key
+from graphtables.functions import fitting_property, is_integer_text, rank_value, vid_key
 from graphtables.model import (
     EDGE,
     EDGE_KEY,
@@ -91,7 +91,7 @@ def _prop_columns(changes: DataFrame, label: Label | None, write) -> dict[str, C
         return {}
     held = {f.name: f.dataType for f in changes.schema.fields}
     return {
-        n: read_property(F.col(n), label.prop_type(n), held[n])
+        n: fitting_property(F.col(n), label.prop_type(n), held[n])
         for n in write.prop_columns(changes, label)
     }
 
@@ -136,11 +136,11 @@ def _keyed(changes: DataFrame, label: Label | None, write, ids) -> tuple[DataFra
     props = _prop_columns(changes, label, write)
     keys, raw, reason = ids
     held = {f.name: f.dataType for f in changes.schema.fields}
-    # Only text can fail to fit a property type.
+    # Anything fits a text; text and numbers can fail to fit any other type.
     bad = [
         F.when(F.col(n).isNotNull() & c.isNull(), f"bad_value:{n}")
         for n, c in props.items()
-        if isinstance(held[n], T.StringType)
+        if isinstance(held[n], (T.StringType, T.NumericType))
         and (label.prop_type(n) in ("DATE", "DATETIME") or not _is_text(label.prop_type(n)))
     ]
     keyed = changes.select(

@@ -53,6 +53,14 @@ def _flag(value) -> bool:
     return str(value).strip().lower() == "true"
 
 
+# Options that a scan knows; the last line is accepted for the sake of callers that pass one set of options
+# to every scan, and has no effect here.
+_OPTIONS = {
+    "type", "spaceName", "label", "returnCols", "noColumn", "partitionNumber", "limit",
+    "operateType", "metaAddress", "timeout", "connectionRetry", "executionRetry",
+}
+
+
 def load(space: Space, options: dict) -> DataFrame:
     """Scan described by text options: ``type, spaceName, label, returnCols, noColumn, ...``.
 
@@ -62,6 +70,11 @@ def load(space: Space, options: dict) -> DataFrame:
     for name in ("type", "spaceName", "label", "returnCols", "partitionNumber"):
         if name not in options:
             raise ValueError(f"option {name} is required")
+    if str(options.get("ngql", "")).strip():
+        raise ValueError("option ngql is not supported: queries are typed functions (operators.traverse)")
+    unknown = sorted(set(options) - _OPTIONS - {"ngql"})
+    if unknown:
+        raise ValueError(f"unknown options: {', '.join(unknown)}")
     if options["spaceName"] != space.name:
         raise ValueError(f"space {options['spaceName']} is not {space.name}")
     for name in ("partitionNumber", "limit"):

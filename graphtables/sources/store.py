@@ -1,10 +1,11 @@
 """A space kept as parquet tables, with versions that switch in one step.
 
 Every label table lies in a directory of its own that is written once and never changed. A
-version is a small file that names the directory of each label; it is written under another name
-and then renamed, so readers see the old version or the new one. A run that dies before the
-rename leaves the old version as it was. Changes may be logged first, batch by batch, and folded
-into a new version later, so that small batches do not each rewrite a large table.
+version is a small file that names the directory of each label. Its name can be created once only,
+so of two writers that start from one version the second is told so and changes nothing; a file that
+is not whole (its writer died) counts as no version, and the next writer replaces it. Changes may be logged first,
+batch by batch, and folded into a new version later, so that small batches do not each rewrite a
+large table.
 """
 
 from __future__ import annotations
@@ -12,15 +13,20 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from graphtables.model import VERTEX, EdgeWrite, Label, Space, VertexWrite
+from graphtables.model import MAX_UPDATE_BATCH, VERTEX, EdgeWrite, Label, Space, VertexWrite
 from graphtables.operators.mutate import Mutation, mutate_edges, mutate_vertices
 from graphtables.sources.scan import scan
 
 BATCH = "_batch"
+# Fixed value: rows of a batch where text options don't say.
+RAW_BATCH = 1000
 
 
 @dataclass(frozen=True)
@@ -50,34 +56,43 @@ class Store:
 
     def current(self) -> Version:
         """The newest version; version 0, which has no tables, when nothing is committed."""
-        numbers = [int(n[:-5]) for n in self._names("versions") if n.endswith(".json")]
-        if not numbers:
-            return Version()
-        path = f"{self.root}/versions/{max(numbers):012d}.json"
-        # One small file with one line: the list of the labels of a space.
-        return Version(**json.loads(self.spark.read.text(path, wholetext=True).first()[0]))
+        names = sorted((n for n in self._names("versions") if n.endswith(".json")), reverse=True)
+        for name in names:
+            # One small file with one line: the list of the labels of a space.
+            line = self.spark.read.text(f"{self.root}/versions/{name}", wholetext=True).first()
+            try:
+                return Version(**json.loads(line[0] if line else ""))
+            except ValueError:
+                continue
+        return Version()
 
     def _commit(self, version: Version) -> Version:
         fs = self._fs()
         fs.mkdirs(self._path("versions"))
-        hidden = self._path("versions", f"_{uuid.uuid4().hex}")
         final = self._path("versions", f"{version.number:012d}.json")
-        out = fs.create(hidden, False)
+        lost = f"version {version.number} was committed by another writer"
+        try:
+            out = fs.create(final, False)
+        except Py4JJavaError as error:
+            if not fs.exists(final):
+                raise
+            raise RuntimeError(lost) from error
         try:
             out.write(bytearray(json.dumps(version.__dict__).encode()))
         finally:
             out.close()
-        if fs.exists(final) or not fs.rename(hidden, final):
-            raise RuntimeError(f"version {version.number} was committed by another writer")
         return version
 
-    def write(self, tables: dict[tuple[str, str], DataFrame], folded=None) -> Version:
+    def write(
+        self, tables: dict[tuple[str, str], DataFrame], folded=None, base: Version | None = None
+    ) -> Version:
         """Write the given label tables and switch to a version that holds them.
 
-        The tables come out of a scan or a mutation. Labels that are not given keep the directory
-        they have.
+        The tables come out of a scan or a mutation of ``base``, by default the newest version; when another
+        writer has committed since, this raises and nothing changes. Labels that are not given keep
+        the directory they have.
         """
-        old = self.current()
+        old = base or self.current()
         entries = dict(old.tables)
         for (kind, name), df in tables.items():
             label = self.space.label(kind, name)
@@ -108,8 +123,9 @@ class Store:
 
     def apply(self, kind: str, label: str | None, changes: DataFrame, how) -> Mutation:
         """Apply changes to the newest version and switch; the rejects come back."""
-        mutation = _mutate(self.read(), kind, label, changes, how)
-        self.write(mutation.tables)
+        base = self.current()
+        mutation = _mutate(self.read(base), kind, label, changes, how)
+        self.write(mutation.tables, base=base)
         return mutation
 
     # --- logged changes -----------------------------------------------------------------------
@@ -117,40 +133,91 @@ class Store:
     def _log(self, stream: str) -> str:
         return f"{self.root}/changes/{stream}"
 
-    def log_changes(self, stream: str, batch_id: int, changes: DataFrame) -> None:
-        """Keep one batch of changes. Logging a batch again replaces it, so a replay is harmless."""
+    def log_changes(self, stream: str, batch_id: int, changes: DataFrame, query: str = "") -> None:
+        """Keep one batch of changes. Logging a batch again replaces it, so a replay is harmless.
+
+        Batch numbers have a meaning within one query only. The first ``query`` that logs under the name
+        of a stream owns it; another one, whose numbers start anew, is refused.
+        """
+        owner = self._owner(stream, query)
+        if owner != query:
+            raise ValueError(
+                f"stream {stream} belongs to query {owner or 'without a name'}: continue it from its checkpoint,"
+                " or log under another name"
+            )
         if batch_id > self.current().folded.get(stream, -1):
             changes.write.mode("overwrite").parquet(f"{self._log(stream)}/{BATCH}={batch_id}")
 
-    def pending(self, stream: str) -> tuple[DataFrame | None, int]:
-        """The logged changes that no version holds yet, with their batch numbers."""
+    def _owner(self, stream: str, query: str) -> str:
+        """The query that owns a stream; ``query`` becomes it when there is none."""
+        fs, path = self._fs(), self._path("changes", stream, "owner.txt")
+        if not fs.exists(path):
+            out = fs.create(path, False)
+            try:
+                out.write(bytearray(query.encode()))
+            finally:
+                out.close()
+        line = self.spark.read.text(path.toString(), wholetext=True).first()
+        return line[0] if line else ""
+
+    def pending(self, stream: str) -> tuple[list[DataFrame], int]:
+        """The logged changes that no version holds yet, and the last batch number.
+
+        Batches in a row that have the same columns are one table, each row with its batch number. A column
+        that a batch does not have is not given by it, so batches that differ are tables of their own.
+        """
         done = self.current().folded.get(stream, -1)
         names = self._names(f"changes/{stream}")
         batches = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}="))
         batches = [b for b in batches if b > done]
-        if not batches:
-            return None, done
-        paths = [f"{self._log(stream)}/{BATCH}={b}" for b in batches]
-        df = self.spark.read.option("basePath", self._log(stream)).parquet(*paths)
-        return df.withColumn(BATCH, F.col(BATCH).cast("bigint")), batches[-1]
+        runs: list[tuple[T.StructType, list[str]]] = []
+        for b in batches:
+            path = f"{self._log(stream)}/{BATCH}={b}"
+            schema = self.spark.read.parquet(path).schema
+            if runs and runs[-1][0] == schema:
+                runs[-1][1].append(path)
+            else:
+                runs.append((schema, [path]))
+        number = F.regexp_extract(F.col("_metadata.file_path"), f"/{BATCH}=([0-9]+)/", 1).cast("bigint")
+        frames = [self.spark.read.schema(schema).parquet(*paths).withColumn(BATCH, number) for schema, paths in runs]
+        return frames, batches[-1] if batches else done
+
+    def _with_pending(self, base: Version, frames, kind: str, label: str | None, how) -> Mutation:
+        """The tables of ``base`` with the frames applied one after another, and all rejects."""
+        space, tables, rejects = self.read(base), {}, []
+        for changes in frames:
+            mutation = _mutate(space, kind, label, changes, _batch_first(how))
+            for (a_kind, name), df in mutation.tables.items():
+                space = space.with_table(space.label(a_kind, name), df, as_read=True)
+            tables.update(mutation.tables)
+            rejects.append(mutation.rejects)
+        return Mutation(tables, reduce(DataFrame.unionByName, rejects))
 
     def merged(self, stream: str, kind: str, label: str | None, how) -> Mutation | None:
         """The newest version with the pending changes applied, nothing written.
 
         Later batches win over earlier ones, inside a batch ``how.order_by`` decides.
         """
-        changes, _ = self.pending(stream)
-        if changes is None:
-            return None
-        return _mutate(self.read(), kind, label, changes, _batch_first(how))
+        base = self.current()
+        frames, _ = self.pending(stream)
+        return self._with_pending(base, frames, kind, label, how) if frames else None
 
     def fold(self, stream: str, kind: str, label: str | None, how) -> Version:
-        """Write a version that holds the pending changes of a stream."""
-        changes, last = self.pending(stream)
-        if changes is None:
-            return self.current()
-        mutation = _mutate(self.read(), kind, label, changes, _batch_first(how))
-        return self.write(mutation.tables, {stream: last})
+        """Write a version that holds the pending changes of a stream, and clear away the batches it holds."""
+        base = self.current()
+        frames, last = self.pending(stream)
+        if frames:
+            mutation = self._with_pending(base, frames, kind, label, how)
+            base = self.write(mutation.tables, {stream: last}, base)
+        self._clear(stream, base)
+        return base
+
+    def _clear(self, stream: str, version: Version) -> None:
+        """Remove the logged batches that ``version`` holds."""
+        fs, done = self._fs(), version.folded.get(stream, -1)
+        for name in self._names(f"changes/{stream}"):
+            if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) <= done:
+                fs.delete(self._path("changes", stream, name), True)
 
 
 def _batch_first(how):
@@ -171,10 +238,12 @@ def _text(options: dict, name: str, default: str = "") -> str:
 def write_options(options: dict) -> VertexWrite | EdgeWrite:
     """The write described by text options: ``type, vertexField, writeMode, batch, ...``."""
     kind = _text(options, "type").lower()
+    mode = _text(options, "writeMode", "insert")
+    default = MAX_UPDATE_BATCH if mode.lower() == "update" else RAW_BATCH
     common = {
-        "mode": _text(options, "writeMode", "insert"),
+        "mode": mode,
         "overwrite": _text(options, "overwrite", "true").lower() == "true",
-        "batch": int(options.get("batch", 512)),
+        "batch": int(options.get("batch", default)),
         "order_by": tuple(c for c in _text(options, "orderBy").split(",") if c),
     }
 

@@ -25,7 +25,9 @@ def mutate_from_stream(
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        store.log_changes(stream, batch_id, batch)
+        # the id of the query lives in its checkpoint: with a new one the batch numbers start anew
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        store.log_changes(stream, batch_id, batch, query)
         if fold_every and (batch_id + 1) % fold_every == 0:
             store.fold(stream, kind, label, how)
 

@@ -105,14 +105,14 @@ STRING = T.StringType()
         ("BOOL", "true", True),
         ("BOOL", "maybe", None),
         ("DOUBLE", "1.5", 1.5),
-        ("TIMESTAMP", "1609502400", 1609502400),
-        ("TIMESTAMP", "2021-01-01T12:00:00", 1609502400),
+        ("TIMESTAMP", "987654321", 987654321),
+        ("TIMESTAMP", "2018-05-06T07:08:09", 1525590489),
         ("TIMESTAMP", "noon", None),
-        ("DATE", "2021-01-01", "2021-01-01"),
+        ("DATE", "2018-05-06", "2018-05-06"),
         ("DATE", "first of May", None),
-        ("DATETIME", "2021-01-01T12:00:00", "2021-01-01T12:00:00.000"),
-        ("DATETIME", "2021-01-01T12:00:00.123456", "2021-01-01T12:00:00.123"),
-        ("TIME", "12:01:01", "12:01:01"),
+        ("DATETIME", "2018-05-06T07:08:09", "2018-05-06T07:08:09.000"),
+        ("DATETIME", "2018-05-06T07:08:09.123456", "2018-05-06T07:08:09.123"),
+        ("TIME", "05:06:07", "05:06:07"),
         ("GEOGRAPHY", "POINT(1 2)", "POINT(1 2)"),
         ("STRING", "", ""),
         ("STRING", None, None),
@@ -126,12 +126,12 @@ def test_read_from_text(spark, kind, text, value):
     "kind, text, literal",
     [
         ("STRING", 'a"b', '"a\\"b"'),
-        ("FIXED_STRING", "Tom", '"Tom"'),
-        ("DATE", "2021-01-27", 'date("2021-01-27")'),
-        ("DATETIME", "2021-01-01T12:10:10", 'datetime("2021-01-01T12:10:10")'),
+        ("FIXED_STRING", "Ash", '"Ash"'),
+        ("DATE", "2016-08-19", 'date("2016-08-19")'),
+        ("DATETIME", "2018-05-06T07:08:09", 'datetime("2018-05-06T07:08:09")'),
         ("TIME", "10:10:10", 'time("10:10:10")'),
-        ("TIMESTAMP", "43535232", "43535232"),
-        ("TIMESTAMP", "2021-01-01T12:10:10", 'timestamp("2021-01-01T12:10:10")'),
+        ("TIMESTAMP", "987654321", "987654321"),
+        ("TIMESTAMP", "2018-05-06T07:08:09", 'timestamp("2018-05-06T07:08:09")'),
         ("GEOGRAPHY", "POINT(1 2)", 'ST_GeogFromText("POINT(1 2)")'),
         ("DURATION", "duration({years:1})", "duration({years:1})"),
         ("INT8", "10", "10"),
@@ -147,8 +147,8 @@ def test_literal_from_text(spark, kind, text, literal):
 
 def test_literal_from_native_types(spark):
     df = spark.sql(
-        "SELECT 1.0D AS d, 100L AS l, true AS b, date'2021-01-27' AS day,"
-        " timestamp_ntz'2021-01-27 10:00:00.5' AS t"
+        "SELECT 1.0D AS d, 100L AS l, true AS b, date'2016-08-19' AS day,"
+        " timestamp_ntz'2016-08-19 10:00:00.5' AS t"
     )
     held = {f.name: f.dataType for f in df.schema.fields}
 
@@ -158,7 +158,7 @@ def test_literal_from_native_types(spark):
     assert literal("d", "DOUBLE") == "1.0"
     assert literal("l", "INT64") == "100"
     assert literal("b", "BOOL") == "true"
-    assert literal("day", "DATE") == 'date("2021-01-27")'
-    assert literal("t", "DATETIME") == 'datetime("2021-01-27T10:00:00.500")'
-    assert literal("t", "TIMESTAMP") == 'timestamp("2021-01-27T10:00:00.500")'
+    assert literal("day", "DATE") == 'date("2016-08-19")'
+    assert literal("t", "DATETIME") == 'datetime("2016-08-19T10:00:00.500")'
+    assert literal("t", "TIMESTAMP") == 'timestamp("2016-08-19T10:00:00.500")'
     assert literal("t", "TIME") == 'time("10:00:00")'

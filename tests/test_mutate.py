@@ -171,6 +171,29 @@ def test_rejects(spark):
     assert m.rejects.count() + 4 == ch.count()
 
 
+def test_numbers_that_do_not_fit(spark):
+    label = Label("t", VERTEX, {"a": "INT8", "b": "INT64", "c": "TIMESTAMP"})
+    empty = Space("n").with_table(label, spark.createDataFrame([], label.scan_schema()))
+    data = [
+        ("1", 127.0, 1.0, "5"), ("2", 128.0, 1.0, "5"), ("3", 1.5, 1.0, "5"), ("4", 1.0, 1e30, "5"),
+        ("5", -128.0, float("nan"), "5"), ("6", 1.0, 2.0, "x"), ("7", None, None, None),
+    ]
+    m = mutate_vertices(empty, "t", spark.createDataFrame(data, "id string, a double, b double, c string"), VertexWrite("id"))
+    assert rows(m.table(VERTEX, "t")) == [("1", 127, 1, 5), ("7", None, None, None)]
+    assert rows(m.rejects) == [("2", "bad_value:a"), ("3", "bad_value:a"), ("4", "bad_value:b"), ("5", "bad_value:b"), ("6", "bad_value:c")]
+    text = spark.createDataFrame([("1", "300"), ("2", "-7")], "id string, a string")
+    m = mutate_vertices(empty, "t", text, VertexWrite("id"))
+    assert rows(m.table(VERTEX, "t")) == [("2", -7, None, None)] and rows(m.rejects) == [("1", "bad_value:a")]
+
+
+def test_uuid_keys_of_an_integer_space(spark):
+    label = Label("t", VERTEX, {"a": "INT8"})
+    empty = Space("n", "INT").with_table(label, spark.createDataFrame([], label.scan_schema()))
+    m = mutate_vertices(empty, "t", spark.createDataFrame([("x", 1), ("y", 2)], "id string, a int"), VertexWrite("id", policy="uuid"))
+    keys = [int(r[0]) for r in rows(m.table(VERTEX, "t"))]
+    assert len(set(keys)) == 2 and all(0 <= k < 2**63 for k in keys)
+
+
 def test_policies_make_keys(spark):
     s = space(spark, "INT", THINGS, LINKS)
     ch = changes(spark, [("a b", "x", 1)])

@@ -145,3 +145,10 @@ def test_vid_type(int_graph, string_graph):
         string_graph.frame("vertex", "geo_shape").withColumn("_vertexId", F.lit("x1")),
     )
     assert profile.vid_type_check(named).first().vid_type == "STRING"
+
+
+def test_options_that_are_not_known_are_refused(int_graph):
+    with pytest.raises(ValueError, match="ngql"):
+        load(int_graph, options("vertex", "person", ngql="MATCH (v) RETURN v"))
+    with pytest.raises(ValueError, match="unknown options: returnCol"):
+        load(int_graph, options("vertex", "person", returnCol="col1"))

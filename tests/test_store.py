@@ -76,6 +76,57 @@ def test_two_writers(store):
         store._commit(Version(old.number + 1, old.tables))
 
 
+def test_a_writer_that_started_earlier_loses_nothing(spark, store, monkeypatch):
+    """Another writer commits between the read of a version and the commit upon it."""
+    one = Store(spark, store.root, store.space)
+    ch = lambda k: spark.createDataFrame([(k, k)], "id string, name string")
+    read = one.read
+
+    def read_and_wait(version=None):
+        space = read(version)
+        store.apply(VERTEX, "thing", ch("3"), VertexWrite("id"))
+        return space
+
+    monkeypatch.setattr(one, "read", read_and_wait)
+    with pytest.raises(RuntimeError, match="another writer"):
+        one.apply(VERTEX, "thing", ch("4"), VertexWrite("id"))
+    monkeypatch.undo()
+    one.apply(VERTEX, "thing", ch("4"), VertexWrite("id"))
+    assert things(store) == [("1", "a"), ("2", "b"), ("3", "3"), ("4", "4")]
+
+
+def test_a_version_file_that_is_not_whole_is_no_version(spark, store):
+    with open(f"{store.root}/versions/{2:012d}.json", "w") as f:
+        f.write('{"number": 2, "tab')
+    assert store.current().number == 1 and len(things(store)) == 2
+
+
+def test_batches_with_more_columns(spark, tmp_path):
+    label = Label("thing", VERTEX, {"name": "STRING", "size": "INT32"})
+    space = Space("s").with_table(label, spark.createDataFrame([("1", "a", 5)], "_vertexId string, name string, size int"))
+    for mode, wanted in (("insert", [("1", "b", None), ("2", "c", 7)]), ("update", [("1", "b", 5)])):
+        store = Store(spark, str(tmp_path / mode), space)
+        store.save_space(space)
+        how = VertexWrite("id", mode=mode)
+        store.log_changes("feed", 0, spark.createDataFrame([("1", "b")], "id string, name string"))
+        store.log_changes("feed", 1, spark.createDataFrame([("2", "c", 7)], "id string, name string, size int"))
+        merged = store.merged("feed", VERTEX, "thing", how)
+        assert rows(merged.table(VERTEX, "thing")) == wanted
+        assert merged.rejects.count() == (mode == "update")
+        store.fold("feed", VERTEX, "thing", how)
+        assert rows(scan(store.read(), VERTEX, "thing")) == wanted
+        # what is folded is cleared away
+        assert not [n for n in store._names("changes/feed") if n.startswith("_batch")]
+
+
+def test_another_query_may_not_go_back(spark, store):
+    ch = spark.createDataFrame([("3", "c")], "id string, name string")
+    store.log_changes("feed", 0, ch, "q1")
+    store.log_changes("feed", 1, ch, "q1")
+    with pytest.raises(ValueError, match="belongs to query q1"):
+        store.log_changes("feed", 0, ch, "q2")
+
+
 def test_save_with_options(spark, store):
     ch = spark.createDataFrame([("2", "B"), ("3", "c")], "_vertexId string, name string")
     options = {"type": "vertex", "spaceName": "s", "label": "thing", "vertexField": "_vertexId"}
@@ -108,9 +159,9 @@ def test_stored_dates_can_be_filtered_in_the_files(spark, tmp_path, int_graph):
     store.save_space(int_graph)
     people = scan(store.read(), VERTEX, "person")
     assert rows(people) == rows(scan(int_graph, VERTEX, "person"))
-    late = people.filter("col8 >= '2021-01-12T00:00:00.000'").select("_vertexId")
+    late = people.filter("col8 >= '1994-07-14T00:00:00.000'").select("_vertexId")
     text = late._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(col8,2021-01-12T00:00:00.000)" in text
+    assert "GreaterThanOrEqual(col8,1994-07-14T00:00:00.000)" in text
     assert late.count() == 6
     ids = people.filter("_vertexId = '3'")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(_vertexId,3)" in ids
@@ -129,11 +180,15 @@ def test_write_options():
             "writeMode": "insert",
         }
     )
-    assert how == EdgeWrite("a", "b", "r", rank_as_prop=True, overwrite=False, src_policy="hash")
+    assert how == EdgeWrite(
+        "a", "b", "r", rank_as_prop=True, overwrite=False, src_policy="hash", batch=1000
+    )
     with pytest.raises(ValueError):
         write_options({"type": "vertex", "vertexField": "id", "writeMode": "update", "batch": "513"})
     with pytest.raises(ValueError):
         write_options({"type": "vertex"})
+    assert write_options({"type": "vertex", "vertexField": "id"}).batch == 1000
+    assert write_options({"type": "vertex", "vertexField": "id", "writeMode": "update"}).batch == 512
 
 
 def test_logged_batches(spark, store):
