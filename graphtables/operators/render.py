@@ -7,6 +7,10 @@ Equal pieces are first counted (partly on the map side) and carried as one row w
 cut into runs of at most one batch. A part is found from the text of the piece and the number of
 its run, so a row that occurs very many times is spread over all parts, and one task never holds
 more than its share. The layout depends on the rows only: a recomputed task gives the same result.
+
+When a write says ``order_by``, the order of the changes of a key matters: a part is then found from
+the key alone, and rows stand in the order of key, ``order_by`` and text, so that whoever runs a
+part from its first batch to its last ends at the last change of every key.
 """
 
 from __future__ import annotations
@@ -20,8 +24,11 @@ from graphtables.functions import hash_id, property_literal, rank_value, vid_tex
 from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, VertexWrite, require_columns
 from graphtables.operators.mutate import REASON, edge_ids, vertex_ids
 
+# Rows of a part, about, when the number of parts is not given.
 ROWS_PER_PART = 10_000
 
+_KEY = "_key"
+
 # How the statements are spelled, and what separates their rows.
 INSERT_HEAD = "INSERT {kind} `{label}`({names}) VALUES "
 INSERT_ABSENT_HEAD = "INSERT {kind} IF NOT EXISTS `{label}`({names}) VALUES "
@@ -85,13 +92,20 @@ def _frame(kind: str, label: str, names, write) -> tuple[str, str, str]:
     return DELETE_EDGE_HEAD.format(label=label), DELETE_SEPARATOR, ""
 
 
+def _order(identity: Column, write) -> list[Column]:
+    """The key and the ordering columns of a write that keeps the order of its changes."""
+    if write.mode == "delete" or not write.order_by:
+        return []
+    return [identity.alias(_KEY), *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(write.order_by)]]
+
+
 def vertex_pieces(changes: DataFrame, label: Label, write: VertexWrite, vid_type: str) -> DataFrame:
     """One text ``piece`` per usable row; rows without a usable id are left to ``id_rejects``."""
     require_columns(changes, write.id_fields)
     _, _, reason = vertex_ids(write, vid_type)
     identity = vid_text(F.col(write.vid_field), write.policy, vid_type)
     piece = _piece(identity, _literals(changes, label, write), VERTEX, label.name, write)
-    return changes.filter(reason.isNull()).select(piece.alias("piece"))
+    return changes.filter(reason.isNull()).select(*_order(identity, write), piece.alias("piece"))
 
 
 def edge_pieces(changes: DataFrame, label: Label, write: EdgeWrite, vid_type: str) -> DataFrame:
@@ -106,7 +120,7 @@ def edge_pieces(changes: DataFrame, label: Label, write: EdgeWrite, vid_type: st
         rank = rank_value(F.col(write.rank_field) if write.rank_field else None)
         identity = F.concat(identity, F.lit("@"), rank.cast("string"))
     piece = _piece(identity, _literals(changes, label, write), EDGE, label.name, write)
-    return changes.filter(reason.isNull()).select(piece.alias("piece"))
+    return changes.filter(reason.isNull()).select(*_order(identity, write), piece.alias("piece"))
 
 
 def id_rejects(changes: DataFrame, write, vid_type: str) -> DataFrame:
@@ -124,20 +138,20 @@ def part_count(changes: DataFrame, rows_per_part: int = ROWS_PER_PART) -> int:
 
 
 def batched(pieces: DataFrame, batch: int, n_parts: int) -> DataFrame:
-    """Pieces dealt to parts and batches: ``part, batch_no, piece, copies``."""
-    counted = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    """Pieces dealt to parts and batches: ``part, batch_no, start, piece, copies``, in the order of start."""
+    order = [c for c in pieces.columns if c != "piece"]
+    counted = pieces.groupBy(*order, "piece").agg(F.count(F.lit(1)).alias("n"))
+    dealt_by = F.col(_KEY) if _KEY in order else F.concat_ws("#", "piece", F.col("run").cast("string"))
     runs = counted.select(
-        "piece", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / batch))).alias("run")
+        *order, "piece", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / batch))).alias("run")
     ).select(
+        *order,
         "piece",
         F.least(F.lit(batch), F.col("n") - F.col("run") * batch).alias("k"),
         "run",
-        (
-            F.pmod(hash_id(F.concat_ws("#", "piece", F.col("run").cast("string"))), F.lit(n_parts))
-            + 1
-        ).alias("part"),
+        (F.pmod(hash_id(dealt_by), F.lit(n_parts)) + 1).alias("part"),
     )
-    w = Window.partitionBy("part").orderBy("piece", "run")
+    w = Window.partitionBy("part").orderBy(*order, "piece", "run")
     placed = runs.withColumn(
         "end", F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("start", F.col("end") - F.col("k"))
@@ -154,7 +168,7 @@ def batched(pieces: DataFrame, batch: int, n_parts: int) -> DataFrame:
     copies = F.least("end", (F.col("batch_no") + 1) * batch) - F.greatest(
         "start", F.col("batch_no") * batch
     )
-    return cut.select("part", "batch_no", "piece", copies.cast("int").alias("copies"))
+    return cut.select("part", "batch_no", "start", "piece", copies.cast("int").alias("copies"))
 
 
 def render_batches(pieces: DataFrame, batch: int, n_parts: int) -> DataFrame:
@@ -174,7 +188,7 @@ def statements(pieces: DataFrame, frame: tuple[str, str, str], batch: int, n_par
         .groupBy("part", "batch_no")
         .agg(
             F.sum("copies").alias("n_rows"),
-            F.sort_array(F.collect_list(F.struct("piece", "copies"))).alias("pieces"),
+            F.sort_array(F.collect_list(F.struct("start", "piece", "copies"))).alias("pieces"),
         )
     )
     repeated = F.flatten(
@@ -189,19 +203,33 @@ def statements(pieces: DataFrame, frame: tuple[str, str, str], batch: int, n_par
 
 
 def render_vertices(
-    changes: DataFrame, label: Label, write: VertexWrite, vid_type: str, n_parts: int | None = None
+    changes: DataFrame,
+    label: Label,
+    write: VertexWrite,
+    vid_type: str,
+    n_parts: int | None = None,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
-    """Statements that write ``changes`` as vertices. All rows are kept, repeated ones too."""
+    """Statements that write ``changes`` as vertices. All rows are kept, repeated ones too.
+
+    There are ``n_parts`` parts, or as many as hold about ``rows_per_part`` rows each.
+    """
     names = [] if write.mode == "delete" else write.prop_columns(changes, label)
     pieces = vertex_pieces(changes, label, write, vid_type)
     frame = _frame(VERTEX, label.name, names, write)
-    return statements(pieces, frame, write.batch, n_parts or part_count(changes))
+    return statements(pieces, frame, write.batch, n_parts or part_count(changes, rows_per_part))
 
 
 def render_edges(
-    changes: DataFrame, label: Label, write: EdgeWrite, vid_type: str, n_parts: int | None = None
+    changes: DataFrame,
+    label: Label,
+    write: EdgeWrite,
+    vid_type: str,
+    n_parts: int | None = None,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
+    """Statements that write ``changes`` as edges, in parts like those of ``render_vertices``."""
     names = [] if write.mode == "delete" else write.prop_columns(changes, label)
     pieces = edge_pieces(changes, label, write, vid_type)
     frame = _frame(EDGE, label.name, names, write)
-    return statements(pieces, frame, write.batch, n_parts or part_count(changes))
+    return statements(pieces, frame, write.batch, n_parts or part_count(changes, rows_per_part))

@@ -213,3 +213,21 @@ def test_layout_does_not_hang_on_the_partitions(spark):
 def test_part_count(spark):
     assert render.part_count(spark.range(0), 10) == 1
     assert render.part_count(spark.range(21), 10) == 3
+
+
+def test_changes_of_a_key_stay_in_order(spark):
+    """Replaying every part from its first batch on ends at the last change of each key."""
+    rng = random.Random(5)
+    data = [(f"k{rng.randrange(12)}", rng.randrange(10_000), rng.randrange(5)) for _ in range(300)]
+    df = spark.createDataFrame(data, "id string, seq int, n int").repartition(7)
+    write = VertexWrite("id", mode="update", batch=8, order_by=("seq",))
+    label = Label("t", VERTEX, {"n": "INT8"})
+    got = render.render_vertices(df, label, write, "STRING", 4).orderBy("part", "batch_no").collect()
+    part_of, last = {}, {}
+    for r in got:
+        for key, n in re.findall(r'"(k[0-9]+)" SET `n`=([0-9])', r.statement):
+            assert part_of.setdefault(key, r.part) == r.part
+            last[key] = int(n)
+    assert sum(r.n_rows for r in got) == 300 and len(set(part_of.values())) > 1
+    wanted = {k: max((s, n) for i, s, n in data if i == k)[1] for k in part_of}
+    assert last == wanted
