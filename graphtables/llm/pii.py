@@ -20,7 +20,8 @@ FORMS = {
 }
 #: What a text must contain to be searched for the form at all.
 HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+#: A part of up to 255, of which the form says that it has a digit.
+_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
 IP = rf"^{_PART}(?:\.{_PART}){{3}}$"
 #: Anything like an identifier: from a digit to the end of the token.
 TOKEN = r"[0-9][0-9A-Za-z._@+-]*[0-9A-Za-z]"
