@@ -39,8 +39,12 @@ def _matches(text: Column, form: str, hint: str | None) -> Column:
     return zipped if hint is None else F.when(F.contains(text, F.lit(hint)), zipped).otherwise(none)
 
 
-def _placed(pieces: Column, k: int) -> Column:
-    """start, kind, end (code points, end exclusive), text and the word before, of each match."""
+def _placed(pieces: Column, k: int, wanted) -> Column:
+    """start, kind, end (code points, end exclusive), text and the word before, of each wanted match.
+
+    All matches move the place, but only wanted ones are put down, so a text of nothing but numbers is
+    read in one go.
+    """
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
     def step(acc, piece):
@@ -50,7 +54,8 @@ def _placed(pieces: Column, k: int) -> Column:
         span = F.struct(
             first.alias("start"), F.lit(k).alias("k"), end.alias("end"), piece["hit"].alias("hit"), left.alias("left")
         )
-        more = F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        out = F.when(wanted(piece["hit"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        more = F.struct(end.alias("at"), out.alias("out"))
         return F.when(piece["hit"].isNull(), acc).otherwise(more)
 
     return F.aggregate(pieces, start, step, lambda acc: acc["out"])
@@ -70,8 +75,7 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), step) % 10 == 0
 
 
-def _valid(kind: str, span: Column) -> Column:
-    hit = span["hit"]
+def _valid(kind: str, hit: Column) -> Column:
     n = F.length(_digits(hit))
     return {
         "email": F.lit(True),
@@ -81,8 +85,8 @@ def _valid(kind: str, span: Column) -> Column:
     }[kind]
 
 
-def _only_valid(kind: str) -> Column:
-    return F.filter(kind, lambda s: _valid(kind, s))
+def _base(kind: str, k: int) -> Column:
+    return _placed(F.col(kind), k, lambda hit: _valid(kind, hit)).alias(kind)
 
 
 def _number_of(spans: Column, k: int) -> Column:
@@ -108,9 +112,9 @@ def scan(rows: DataFrame) -> DataFrame:
         *[_matches(F.col("text"), FORMS[kind], HINT[kind]).alias(kind) for kind in KINDS],
         _matches(F.col("text"), TOKEN, None).alias("token"),
     )
-    step = step.select("id", "tag", *[_placed(F.col(kind), k).alias(kind) for k, kind in enumerate(KINDS)], _placed(F.col("token"), -1).alias("token"))
-    valid = [_only_valid(kind) for kind in KINDS]
-    step = step.select("id", "tag", F.array_sort(F.concat(*valid)).alias("base"), F.filter("token", lambda s: _loose_kind(s["hit"]).isNotNull()).alias("token"))
+    loose = _placed(F.col("token"), -1, lambda hit: _loose_kind(hit).isNotNull())
+    step = step.select("id", "tag", *[_base(kind, k) for k, kind in enumerate(KINDS)], loose.alias("token"))
+    step = step.select("id", "tag", F.array_sort(F.concat(*KINDS)).alias("base"), "token")
     free = F.filter("token", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return step.select("id", "tag", "base", free.alias("loose"))
 
