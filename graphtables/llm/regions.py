@@ -107,15 +107,20 @@ def repeated_regions(found: DataFrame) -> DataFrame:
     )
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """The texts compressed, as they are shuffled twice."""
+def squeeze():
+    """A function that compresses a text column; null counts as empty."""
 
-    def squeeze(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pack = zstandard.ZstdCompressor(level=1)
+    def pack(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in texts:
-            yield pd.Series([pack.compress(t.encode("utf-8", "surrogatepass")) for t in batch])
+            yield pd.Series([packer.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch])
+
+    return F.pandas_udf(pack, "binary")
 
-    return rows.select("id", "tag", F.pandas_udf(squeeze, "binary")("text").alias("packed"))
+
+def packed(rows: DataFrame) -> DataFrame:
+    """id, tag and the texts compressed, as they are shuffled twice."""
+    return rows.select("id", "tag", squeeze()("text").alias("packed"))
 
 
 def unpack(data: bytes) -> bytes:
