@@ -19,7 +19,7 @@ BANDS, ROWS = 40, 5
 #: Hashes that are compared at once, and the probability at which a similar pair may be pruned.
 BATCH, MISS = 40, 1e-7
 #: Members of a bucket that one task compares with each other; larger buckets are dealt out in blocks.
-BLOCK = 1000
+BLOCK = 4000
 #: What a pair of blocks of a bucket is known by.
 GROUP = ["who", "low", "m", "i", "j"]
 
