@@ -15,7 +15,7 @@ from graphtables.llm.regions import cover, keyed, packed, per_document, regions,
 from graphtables.llm.wordhash import FIRST, SECOND, WORDS, to_bytes
 
 #: Bytes of a shard, whose suffixes are sorted, and of a block, whose shards are merged.
-SHARD, BLOCK = 1 << 16, 1 << 20
+SHARD, BLOCK = 1 << 14, 1 << 16
 #: Bytes of open regions of one minimizer beyond which its windows are grouped by Spark instead.
 HOT = 1 << 22
 
