@@ -11,7 +11,15 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+#: Rows of a batch that goes to Python. Rows are whole texts here, and a batch is held several times over.
+ARROW_ROWS = 1000
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``. Sessions that send more than ARROW_ROWS rows to Python at once are set to that number."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
