@@ -85,7 +85,7 @@ def test_chain_feeds_unseen_probabilities():
 
     draw = np.random.default_rng(1)
     a, b = draw.random(600) < 0.3, draw.random(600) < 0.5
-    sets = [np.array([1] * x + [2] * y + [3], np.int32) for x, y in zip(a, b)]
+    sets = [np.array([1] * int(x) + [2] * int(y) + [3], np.int32) for x, y in zip(a, b)]
     chain = toxicity.Chain(sets, np.column_stack([a, a & b]), np.arange(600) % 3, 1e-4, 120)
     assert len(chain.models[1][1]) == 2  # one earlier category, and the bias
     both, one = chain.predict(np.array([1, 2, 3])), chain.predict(np.array([2, 3]))
