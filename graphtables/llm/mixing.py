@@ -49,8 +49,8 @@ def slots(plan: DataFrame, block: int = BLOCK) -> DataFrame:
     Slot s lies at the s-th van der Corput point (its bits read backwards), and belongs to the source on
     whose stretch of the cumulative targets that point falls, so every run of slots has the sources in
     their proportions. The ranks of a source's slots are the numbers of the blocks that it gives. A source
-    gives whole blocks and then the rest of its target; slots beyond that are dropped, and blocks
-    that the points did not reach follow at the end (slot is null).
+    gives whole blocks and then the rest of its target; slots beyond that are dropped (their numbers are left
+    out), and blocks that the points did not reach follow at the end, source after source.
     """
     spark = plan.sparkSession
     ordered = Window.orderBy("sid")
@@ -77,17 +77,24 @@ def slots(plan: DataFrame, block: int = BLOCK) -> DataFrame:
     )
     drawn = drawn.join(join_side(cells, size_of(cells)), "cell").where("x >= low AND x < high").select("slot", "sid")
     drawn = drawn.withColumn("run", F.floor(F.col("slot") / RUN))
-    runs = drawn.groupBy("sid", "run").agg(F.count(F.lit(1)).alias("n"))
+    runs = settled(drawn.groupBy("sid", "run").agg(F.count(F.lit(1)).alias("n")), "runs")
+    reached = runs.groupBy("sid").agg(F.sum("n").alias("reached")).withColumnRenamed("sid", "rsid")
+    missed = F.greatest(F.col("n") - F.coalesce("reached", F.lit(0)), F.lit(0))
+    behind = F.coalesce(F.sum(missed).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    stretch = stretch.join(reached, F.col("sid") == F.col("rsid"), "left").select(
+        "sid", "goal", "n", (F.lit(n_slots) + behind - F.coalesce("reached", F.lit(0))).alias("tail")
+    )
     earlier = Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("sid", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     within = Window.partitionBy("sid", "run").orderBy("slot")
     ranked = drawn.join(runs, ["sid", "run"]).select(
         "slot", "sid", (F.col("base") + F.row_number().over(within) - 1).alias("rank")
     )
-    wanted = stretch.where("n > 0").select("sid", "goal", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("rank"))
+    wanted = stretch.where("n > 0").select("sid", "goal", "tail", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("rank"))
     return wanted.join(ranked, ["sid", "rank"], "left").select(
-        "slot", "sid", "rank", F.least(F.lit(block).cast("bigint"), F.col("goal") - F.col("rank") * block).alias("words")
-    )
+        F.coalesce("slot", F.col("tail") + F.col("rank")).alias("slot"), "sid", "rank",
+        F.least(F.lit(block).cast("bigint"), F.col("goal") - F.col("rank") * block).alias("words"),
+    )
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -109,29 +116,8 @@ def _shuffle_key(doc_id, seed: int):
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights=(5.0, 2.0, 1.0),
-    cap: float = 3.0,
-    block: int = BLOCK,
-    seed: int = 17,
-) -> DataFrame:
-    """One row per row of ``docs``: id, size, source_size, target, taken.
-
-    Size is the number of words (runs of anything but white space; null has none). ``targets`` says
-    what each source gives. The documents of a source are shuffled (by a hash of ``seed`` and id), laid end
-    to end as often as needed, and cut into blocks of ``block`` words; the schedule (``slots``) names the
-    blocks that are taken, in order. Taken is the words of the document that lie in taken blocks, repeats
-    counted. As blocks are taken from the first on, a source gives the whole part of its target, and a
-    document at most ``ceil(cap)`` times its size.
-
-    A null source is a source. Ties of the hash go by id and size. Rows of one id are so many documents;
-    when they also have the same size they are interchangeable. Documents without words, and tables
-    without any, take part with zeros; an empty table gives an empty table.
-    """
+def _mixture(docs: DataFrame, id_col, text_col, source_col, weights, cap, block, seed) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sources with their targets, the documents with their offsets, and the rows of the mix."""
     rows = pick(docs, id=id_col, text=text_col, source=source_col)
     size = F.regexp_count("text", F.lit(WORD)).cast("bigint")
     sized = settled(
@@ -153,14 +139,69 @@ def mix(
     # each time that a document is laid out, the blocks it lies in
     begin = F.col("off") + F.col("time") * F.col("source_size")
     laid = docs_at.where("size > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(int(-(-cap // 1)) - 1))).alias("time"))
-    laid = laid.select("id", "h", "sid", "off", "size", begin.alias("begin"), given.alias("given")).where("begin < given")
+    laid = laid.select("id", "sid", "off", "size", begin.alias("begin"), given.alias("given")).where("begin < given")
     first, last = F.floor(F.col("begin") / block), F.floor((F.least(F.col("begin") + F.col("size"), F.col("given")) - 1) / block)
     pieces = laid.select("*", F.explode(F.sequence(first, last)).alias("rank"))
-    chosen = slots(plan.select("sid", "target"), block).select("sid", "rank", "words")
-    from_word = F.greatest(F.col("begin"), F.col("rank") * block)
-    to_word = F.least(F.col("begin") + F.col("size"), F.col("rank") * block + F.col("words"))
-    taken = pieces.join(chosen, ["sid", "rank"]).select("sid", "off", "id", F.greatest(to_word - from_word, F.lit(0)).alias("part"))
-    taken = taken.groupBy("sid", "off").agg(F.sum("part").alias("part"))
+    chosen = slots(plan.select("sid", "target"), block)
+    start = F.greatest(F.col("begin"), F.col("rank") * block)
+    end = F.least(F.col("begin") + F.col("size"), F.col("rank") * block + F.col("words"))
+    mixed = pieces.join(chosen, ["sid", "rank"]).select(
+        "slot", "sid", "rank", (start - F.col("rank") * block).alias("at"), "id", "off",
+        (start - F.col("begin")).alias("from_word"), (end - F.col("begin")).alias("to_word"),
+    )
+    return plan, docs_at, settled(mixed, "mixed")
+
+
+def mixture(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=(5.0, 2.0, 1.0),
+    cap: float = 3.0,
+    block: int = BLOCK,
+    seed: int = 17,
+) -> DataFrame:
+    """The mix itself: slot, source, rank, at, id, from_word, to_word.
+
+    ``targets`` says what each source gives. The documents of a source are shuffled (by a hash of ``seed`` and id),
+    laid end to end as often as needed, and cut into blocks of ``block`` words; block ``rank`` of a source lies in
+    the ``slot`` that the schedule (``slots``) gives it. A row is a stretch of a document, its words from_word to
+    to_word (counted from 0, end exclusive), that begins at word ``at`` of that block. Read in the order of
+    slot and at, the rows are the mixed sequence: as many words as the whole parts of all targets, and every run of
+    slots has the sources in their proportions.
+
+    Words, null sources, ties and repeated ids are as in ``mix``.
+    """
+    plan, _, mixed = _mixture(docs, id_col, text_col, source_col, weights, cap, block, seed)
+    names = plan.select("sid", "source")
+    return mixed.join(join_side(names, size_of(names)), "sid").select(
+        "slot", "source", "rank", "at", F.col("id").alias(id_col), "from_word", "to_word"
+    )
+
+
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=(5.0, 2.0, 1.0),
+    cap: float = 3.0,
+    block: int = BLOCK,
+    seed: int = 17,
+) -> DataFrame:
+    """One row per row of ``docs``: id, size, source_size, target, taken.
+
+    Size is the number of words (runs of anything but white space; null has none). Target is what the source gives
+    (``targets``), taken the words of the document in the rows of the mix (``mixture``), repeats counted. A
+    source gives the whole part of its target, and a document at most ``ceil(cap)`` times its size.
+
+    A null source is a source. Ties of the hash go by id and size. Rows of one id are so many documents;
+    when they also have the same size they are interchangeable. Documents without words, and tables
+    without any, take part with zeros; an empty table gives an empty table.
+    """
+    _, docs_at, mixed = _mixture(docs, id_col, text_col, source_col, weights, cap, block, seed)
+    taken = mixed.groupBy("sid", "off").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("part"))
     # documents that have words differ in where they begin; the others take nothing
     key = F.when(F.col("size") > 0, F.col("off"))
     return (

@@ -230,6 +230,33 @@ def test_schedule_keeps_proportions(spark):
     )
 
 
+def test_mixture_is_the_sequence(table, noisy):
+    """The rows fill every block without gaps, lie in the order of the schedule, and give what mix counts."""
+    rows = [(i, t, "en", f"s{i % 4}" if i % 5 else None) for i, t in noisy]
+    source, size = {i: s for i, _, _, s in rows}, {i: len(t.split()) for i, t, _, _ in rows}
+    mixed = mixing.mixture(table(rows), block=16).orderBy("slot", "at").collect()
+    counted = {r.doc_id: r for r in mixing.mix(table(rows), block=16).collect()}
+    taken, ends, blocks = Counter(), Counter(), {}
+    for r in mixed:
+        assert r.source == source[r.doc_id] and 0 <= r.from_word < r.to_word <= size[r.doc_id]
+        assert blocks.setdefault(r.slot, (r.source, r["rank"])) == (r.source, r["rank"])
+        assert r.at == ends[r.slot]
+        ends[r.slot] += r.to_word - r.from_word
+        taken[r.doc_id] += r.to_word - r.from_word
+    assert {i: r.taken for i, r in counted.items()} == {i: taken[i] for i in counted}
+    assert len(set(blocks.values())) == len(blocks)
+    goal = {source[i]: int(r.target) for i, r in counted.items()}
+    assert Counter(s for s, _ in blocks.values()) == {s: -(-g // 16) for s, g in goal.items()}
+    for n in (len(blocks) // 4, len(blocks) // 2):  # any beginning has the sources in their proportions
+        share = Counter(blocks[k][0] for k in sorted(blocks)[:n])
+        assert all(abs(share[s] / n - g / sum(goal.values())) <= 0.1 for s, g in goal.items())
+    # the words of a source, block after block, are its documents end to end, in the same order each time
+    first = [r for r in sorted(mixed, key=lambda r: (r["rank"], r.at)) if r.source == "s1"]
+    order = list(dict.fromkeys(r.doc_id for r in first))
+    laid = [(i, w) for _ in range(3) for i in order for w in range(size[i])][: goal["s1"]]
+    assert [(r.doc_id, w) for r in first for w in range(r.from_word, r.to_word)] == laid
+
+
 def test_mix_odd_rows(table, odd_rows):
     out = mixing.mix(table(odd_rows)).collect()
     assert len(out) == len(odd_rows)
