@@ -38,16 +38,21 @@ def sigmoid(z):
 
 
 class Rows:
-    """Rows of sets of feature numbers: where each begins in ``index``, and the numbers one after another."""
+    """Rows of sets of feature numbers: where each begins in ``index``, and the numbers one after another.
+
+    Sums go over PART numbers at a time, so that what is held besides the numbers stays small.
+    """
+
+    PART = 1 << 20
 
     def __init__(self, sets: list[np.ndarray]):
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        self.row = np.repeat(np.arange(len(sets)), sizes)
-        self.index = np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64)
+        self.row = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+        self.index = np.concatenate([*sets, np.zeros(0, np.int32)]).astype(np.int32, copy=False)
         self.n = len(sets)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=w[self.index], minlength=self.n).astype(float)
+        return self._sums(self.row, w, self.index, self.n)
 
     def only(self, keep: np.ndarray) -> Rows:
         """The same rows with the features marked in ``keep``."""
@@ -56,30 +61,69 @@ class Rows:
         out.row, out.index, out.n = self.row[at], self.index[at], self.n
         return out
 
-    def telling(self, y: np.ndarray, use: np.ndarray, dim: int, least: int, z: float) -> np.ndarray:
-        """Features of at least ``least`` of the used rows whose share of positive rows is ``z`` deviations off."""
-        seen = self.back(use.astype(float), dim)
-        hits = self.back((use & (y > 0)).astype(float), dim)
-        base = y[use].mean() if use.any() else 0.0
-        return (seen >= least) & (np.abs(hits - seen * base) >= z * np.sqrt(np.maximum(seen * base * (1 - base), 1e-9)))
-
     def back(self, r: np.ndarray, dim: int) -> np.ndarray:
-        return np.bincount(self.index, weights=r[self.row], minlength=dim)
+        return self._sums(self.index, r, self.row, dim)
+
+    def _sums(self, to: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(n)
+        for k in range(0, len(to), self.PART):
+            part = slice(k, k + self.PART)
+            out += np.bincount(to[part], weights=values[at[part]], minlength=n)
+        return out
+
+
+def chosen_by_lasso(rows: Rows, more: np.ndarray, y: np.ndarray, weight: np.ndarray, dim: int, sure: float, prior: float, rounds: int = 150):
+    """Marks of the features whose weights are not zero in a logistic model with an absolute penalty (lasso).
+
+    The penalty of a feature is ``sure`` deviations of its slope if the feature said nothing, as if it were in ``prior``
+    rows more, so a rare feature takes part if what the others leave unexplained in its rows agrees well enough.
+    ``more`` and the bias are not penalised. Features whose slope is far below their penalty are left out at first,
+    and let in if the others are found to need them.
+    """
+    weight = weight * (weight > 0).sum() / max(weight.sum(), 1e-9)
+    base = float((weight * y).sum() / max(weight.sum(), 1e-9))
+    if not 0 < base < 1:
+        return np.zeros(dim, bool)
+    penalty = sure * np.sqrt(base * (1 - base) * (rows.back(weight * weight, dim) + prior))
+    dense = np.column_stack([more, np.ones(rows.n)])
+    w, u = np.zeros(dim), np.zeros(dense.shape[1])
+    u[-1] = np.log(base / (1 - base))
+    tried = np.zeros(dim, bool)
+    for _ in range(3):
+        slope = rows.back(weight * (sigmoid(rows.dot(w) + dense @ u) - y), dim)
+        new = ~tried & (np.abs(slope) > (1.0 if tried.any() else 0.6) * penalty)
+        if not new.any():
+            break
+        tried |= new
+        part = rows.only(tried)
+        # a bound of the curvature along each weight, so that every step goes down
+        many = np.bincount(part.row, minlength=rows.n) + dense.sum(1)
+        curve, flat = 0.25 * part.back(weight * many, dim) + 1e-9, 0.25 * dense.T @ (weight * many) + 1e-9
+        look, level = w, u
+        for i in range(rounds):
+            r = weight * (sigmoid(part.dot(look) + dense @ level) - y)
+            step = look - part.back(r, dim) / curve
+            step = np.sign(step) * np.maximum(0.0, np.abs(step) - penalty / curve) * tried
+            down = level - dense.T @ r / flat
+            speed = i / (i + 3.0)
+            look, w = step + speed * (step - w), step
+            level, u = down + speed * (down - u), down
+    return w != 0
 
 
 def fit_logistic(rows: Rows, more: np.ndarray, y: np.ndarray, use: np.ndarray, dim: int, l2: float, rounds: int):
-    """Weights of the sets, of the dense columns ``more``, and the bias, from the rows marked in ``use``.
+    """Weights of the sets, of the dense columns ``more``, and the bias, from the rows that ``use`` marks or weighs.
 
     Logistic loss, gradient steps scaled per weight (Adam); all of it is deterministic.
     """
     w = np.zeros(dim + more.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
-    n = max(1, int(use.sum()))
+    n = max(1.0, float(use.sum()))
     rate = 0.1
-    w[-1] = np.log((y[use].sum() + 1.0) / (n - y[use].sum() + 1.0))
+    w[-1] = np.log(((use * y).sum() + 1.0) / (n - (use * y).sum() + 1.0))
     for i in range(1, rounds + 1):
         p = sigmoid(rows.dot(w[:dim]) + more @ w[dim:-1] + w[-1])
-        r = np.where(use, p - y, 0.0) / n
+        r = use * (p - y) / n
         g = np.concatenate([rows.back(r, dim), more.T @ r, [r.sum()]])
         g[:-1] += l2 * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g

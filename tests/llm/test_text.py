@@ -72,6 +72,41 @@ def test_toxicity_query(spark, labels):
     assert out.where("truth = 1 AND toxic").count() >= 0.4 * out.where("truth = 1").count()
 
 
+def test_toxicity_of_held_out_rows_per_language(spark, sf_dir):
+    """At least so much of what is toxic, by language, in documents that were not learned from."""
+    big = "/root/testdata/sf0.1"
+    truth = spark.read.parquet(f"{big}/labels.parquet").select("doc_id", F.col("toxic").alias("truth"))
+    langs = spark.read.parquet(f"{big}/documents.parquet").select("doc_id", "lang")
+    rows = registry.queries()["op3_toxicity"](spark, big).where("held_out").join(truth, "doc_id").join(langs, "doc_id")
+    seen = Counter((r.lang, r.truth, r.toxic) for r in rows.select("lang", "truth", "toxic").collect())
+    recall = {v: seen[v, 1, True] / (seen[v, 1, True] + seen[v, 1, False]) for v in ("en", "de", "fr", "es")}
+    assert all(recall[v] >= least for v, least in {"en": 0.87, "de": 0.6, "fr": 0.9, "es": 0.6}.items())
+    assert sum(n for (_, y, p), n in seen.items() if y == 0 and p) <= 0.01 * sum(n for (_, y, _), n in seen.items() if y == 0)
+
+
+def test_toxicity_learns_stems():
+    """No word is in two documents; what the toxic ones of a rare kind share is a part of a word."""
+    import numpy as np
+
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choices("abdeghiklnorstu", k=8))
+    texts = [" ".join([word() for _ in range(20)] + (["vilest" + word()] if i % 20 == 0 else [])) for i in range(400)]
+    sets, truth = [toxicity.features_of(t) for t in texts], np.arange(400) % 20 == 0
+    chain = toxicity.Chain(sets[:200], truth[:200, None], np.arange(200) % 3, 1e-4, 120)
+    assert [chain.predict(s)[0] >= 0.5 for s in sets[200:]] == truth[200:].tolist()
+
+
+def test_toxicity_sample_keeps_what_is_rare(spark):
+    """All rows of a rare category are in the sample, and the weights make up for what was left out."""
+    rows = [(i, int(i % 100 == 0), int(i % 3 == 0)) for i in range(3000)]
+    ids = spark.createDataFrame(rows, "id long, rare int, common int")
+    got = toxicity.balanced(ids, ["common", "rare"], 600).collect()
+    assert len(got) == 600 and sum(r.rare for r in got) == 30
+    assert sum(r.weight for r in got) == pytest.approx(3000) and {r.weight for r in got if r.rare} == {1.0}
+    everything = toxicity.balanced(ids, ["common", "rare"], 5000).collect()
+    assert len(everything) == 3000 and {r.weight for r in everything} == {1.0}
+
+
 def test_toxicity_odd_rows(spark, table, odd_rows):
     none = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     out = toxicity.toxicity(table(odd_rows), none, {"toxic": F.col("toxic")}).collect()
