@@ -72,13 +72,13 @@ class Rows:
         return out
 
 
-def chosen_by_lasso(rows: Rows, more: np.ndarray, y: np.ndarray, weight: np.ndarray, dim: int, sure: float, prior: float, rounds: int = 150):
+def chosen_by_lasso(rows: Rows, more: np.ndarray, y: np.ndarray, weight: np.ndarray, dim: int, sure: float, prior: float, passes: int = 5, rounds: int = 30):
     """Marks of the features whose weights are not zero in a logistic model with an absolute penalty (lasso).
 
     The penalty of a feature is ``sure`` deviations of its slope if the feature said nothing, as if it were in ``prior``
     rows more, so a rare feature takes part if what the others leave unexplained in its rows agrees well enough.
-    ``more`` and the bias are not penalised. Features whose slope is far below their penalty are left out at first,
-    and let in if the others are found to need them.
+    ``more`` and the bias are not penalised. Each pass goes over the features that have a weight or whose slope exceeds
+    their penalty, so most are never touched.
     """
     weight = weight * (weight > 0).sum() / max(weight.sum(), 1e-9)
     base = float((weight * y).sum() / max(weight.sum(), 1e-9))
@@ -88,14 +88,10 @@ def chosen_by_lasso(rows: Rows, more: np.ndarray, y: np.ndarray, weight: np.ndar
     dense = np.column_stack([more, np.ones(rows.n)])
     w, u = np.zeros(dim), np.zeros(dense.shape[1])
     u[-1] = np.log(base / (1 - base))
-    tried = np.zeros(dim, bool)
-    for _ in range(3):
+    for _ in range(passes):
         slope = rows.back(weight * (sigmoid(rows.dot(w) + dense @ u) - y), dim)
-        new = ~tried & (np.abs(slope) > (1.0 if tried.any() else 0.6) * penalty)
-        if not new.any():
-            break
-        tried |= new
-        part = rows.only(tried)
+        active = (w != 0) | (np.abs(slope) > penalty)
+        part = rows.only(active)
         # a bound of the curvature along each weight, so that every step goes down
         many = np.bincount(part.row, minlength=rows.n) + dense.sum(1)
         curve, flat = 0.25 * part.back(weight * many, dim) + 1e-9, 0.25 * dense.T @ (weight * many) + 1e-9
@@ -103,7 +99,7 @@ def chosen_by_lasso(rows: Rows, more: np.ndarray, y: np.ndarray, weight: np.ndar
         for i in range(rounds):
             r = weight * (sigmoid(part.dot(look) + dense @ level) - y)
             step = look - part.back(r, dim) / curve
-            step = np.sign(step) * np.maximum(0.0, np.abs(step) - penalty / curve) * tried
+            step = np.sign(step) * np.maximum(0.0, np.abs(step) - penalty / curve) * active
             down = level - dense.T @ r / flat
             speed = i / (i + 3.0)
             look, w = step + speed * (step - w), step
