@@ -201,7 +201,11 @@ def test_policies_make_keys(spark):
     (new,) = [r for r in rows(m.table(VERTEX, "thing")) if r[1] == "x"]
     assert new[0].isdigit() and m.rejects.isEmpty()
     m = mutate_vertices(s, "thing", ch, VertexWrite("id", policy="UUID"))
-    assert any(r[0].count("-") == 4 for r in rows(m.table(VERTEX, "thing")))
+    (other,) = [r for r in rows(m.table(VERTEX, "thing")) if r[1] == "x"]
+    assert other[0].isdigit() and other[0] != new[0]
+    text = Space("t").with_table(Label("thing", VERTEX, {"name": "STRING", "size": "INT64"}), spark.createDataFrame([], "_vertexId string, name string, size bigint"))
+    m = mutate_vertices(text, "thing", ch, VertexWrite("id", policy="UUID"))
+    assert rows(m.table(VERTEX, "thing"))[0][0].count("-") == 4
 
 
 def test_ids_as_properties(spark):

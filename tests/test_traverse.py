@@ -24,7 +24,7 @@ def graph(spark, **labels):
 def test_match_edges(int_graph):
     df = traverse.match_edges(int_graph, "friend", ["col1"], limit=1000)
     assert df.count() == 12 and len(df.columns) == 4
-    assert tuple(df.filter("_srcId = '1'").first()) == ("1", "2", 0, "friend1")
+    assert tuple(df.filter("_srcId = '1'").first()) == ("1", "2", 0, "friend no. 1")
     limited = [r[:2] for r in rows(traverse.match_edges(int_graph, "friend", ["col1"], limit=3))]
     assert limited == [("1", "2"), ("10", "11"), ("11", "12")]
 
@@ -38,14 +38,14 @@ def test_match_from_tag_and_vertices(int_graph, string_graph):
 
 def test_fetch(spark, int_graph):
     keys = edges_frame(spark, [("1", "2", 0), ("1", "2", 0), ("1", "2", 1), ("2", "1", 0)])
-    assert rows(traverse.fetch_edges(int_graph, "friend", keys, ["col1"])) == [("1", "2", 0, "friend1")]
+    assert rows(traverse.fetch_edges(int_graph, "friend", keys, ["col1"])) == [("1", "2", 0, "friend no. 1")]
 
 
 def test_subgraph_on_the_cycle(spark, int_graph):
     met = traverse.subgraph_edges(int_graph, vids(spark, 2), 3)
     with_col1 = traverse.with_props(int_graph, "friend", met, ["col1"])
     assert met.count() == 6
-    assert {r[3] for r in rows(with_col1)} == {"friend11", "friend12", *(f"friend{i}" for i in range(1, 5))}
+    assert {r[3] for r in rows(with_col1)} == {"friend no. 11", "friend no. 12", *(f"friend no. {i}" for i in range(1, 5))}
     assert traverse.subgraph_edges(int_graph, vids(spark, 2), 1).count() == 2
     assert traverse.subgraph_edges(int_graph, vids(spark, 2), 50).count() == 12
     assert traverse.subgraph_edges(int_graph, vids(spark, "nobody"), 3).isEmpty()
@@ -59,7 +59,7 @@ def test_all_paths_on_the_cycle(spark, int_graph):
     edges = traverse.path_edges(paths, "friend")
     assert [r[1:] for r in rows(edges)] == [("2", "3", 0), ("3", "4", 0)]
     with_col1 = traverse.with_props(int_graph, "friend", edges, ["col1"])
-    assert {r[3] for r in rows(with_col1)} == {"friend2", "friend3"}
+    assert {r[3] for r in rows(with_col1)} == {"friend no. 2", "friend no. 3"}
     assert traverse.all_paths(int_graph, vids(spark, 2), vids(spark, 4), 1).isEmpty()
     with pytest.raises(ValueError):
         traverse.all_paths(int_graph, vids(spark, 2), vids(spark, 4), 0)
@@ -157,5 +157,5 @@ def test_props_of_repeated_edges(spark, int_graph):
     keys = [("friend", "1", "2", 0)] * 3 + [("other", "1", "2", 0)]
     df = spark.createDataFrame(keys, "label string, _srcId string, _dstId string, _rank bigint")
     assert rows(traverse.with_props(int_graph, "friend", df, ["col1"])) == list(
-        itertools.repeat(("1", "2", 0, "friend1"), 3)
+        itertools.repeat(("1", "2", 0, "friend no. 1"), 3)
     )
