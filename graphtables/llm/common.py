@@ -41,3 +41,11 @@ def crc_of_id(doc_id: Column) -> Column:
 def settled(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: it is computed once, and lost executors don't matter."""
     return materialize(df, f"llm_{name}")
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text: eight shifts for each of its bytes."""
+    # fixed value: the reversed polynomial of CRC-32
+    shift = "list_reduce(list_prepend(xor(a, c), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, c: {shift}))"

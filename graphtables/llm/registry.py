@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphtables.llm import decontaminate, exact_dedup, langid, mixing, near_dedup, passages, pii, quality, suffixes, toxicity
+from graphtables.llm import decontaminate, exact_dedup, langid, merkle, mixing, near_dedup, passages, pii, quality, suffixes, toxicity
 
-GROUPS = (langid, decontaminate, toxicity, exact_dedup, pii, suffixes, mixing, near_dedup, quality, passages)
+GROUPS = (langid, decontaminate, toxicity, exact_dedup, pii, suffixes, mixing, near_dedup, quality, passages, merkle)
 
 
 def queries() -> dict:
