@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphtables.llm import decontaminate, exact_dedup, langid, merkle, mixing, near_dedup, passages, pii, quality, simhash, suffixes, toxicity
+from graphtables.llm import conversations, decontaminate, exact_dedup, langid, merkle, mixing, near_dedup, passages, pii, quality, simhash, suffixes, toxicity
 
-GROUPS = (langid, decontaminate, toxicity, exact_dedup, pii, suffixes, mixing, near_dedup, quality, passages, merkle, simhash)
+GROUPS = (langid, decontaminate, toxicity, exact_dedup, pii, suffixes, mixing, near_dedup, quality, passages, merkle, simhash, conversations)
 
 
 def queries() -> dict:
