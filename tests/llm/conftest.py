@@ -54,6 +54,6 @@ def noisy():
 @pytest.fixture(scope="session")
 def duck(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
     return con
