@@ -146,7 +146,8 @@ def _links(prints: DataFrame, distance: int) -> DataFrame:
     stars = settled(shared.where("id != low.id").where(near).select(F.col("low.id").alias("a"), F.col("id").alias("b")).distinct(), "simhash_stars")
     joined = components(stars)
 
-    at = shared.join(joined.hint("merge"), "id", "left").select("grid", "cell", "m", "f", "id", F.coalesce("comp", "id").alias("comp"))
+    # of two members one is the smallest, so they were compared
+    at = shared.where("m > 2").join(joined.hint("merge"), "id", "left").select("grid", "cell", "m", "f", "id", F.coalesce("comp", "id").alias("comp"))
     sizes = at.groupBy("grid", "cell", "comp").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("grid", "cell").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     at = at.join(largest.select("grid", "cell", F.col("top.comp").alias("main")).hint("merge"), ["grid", "cell"])
@@ -155,7 +156,9 @@ def _links(prints: DataFrame, distance: int) -> DataFrame:
     blocks = F.when(asks, F.sequence(F.lit(0), n - 1)).otherwise(F.array(own))
     dealt = at.select("grid", "cell", F.explode(blocks).alias("block"), own.alias("own"), "f", "id", "comp", asks.alias("asks"))
     dealt = dealt.select(*_KEY, "f", "id", "comp", "asks", (F.col("own") == F.col("block")).alias("home"))
-    dealt = dealt.repartition(*_KEY).sortWithinPartitions(*_KEY)
+    # the number of partitions is given: rows are small here and the work is not, so few partitions should not be made of many
+    n_tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(n_tasks, *_KEY).sortWithinPartitions(*_KEY)
     return stars.unionByName(settled(dealt.mapInPandas(_links_between(distance), "a long, b long"), "simhash_links"))
 
 
