@@ -4,8 +4,9 @@ Keys are unique in a label table and are made unique in the changes first, so th
 whole key cannot be skewed. The changes are shuffled once for that; the join with the label table
 and the rows that are added read the same shuffle. Only a cascading delete joins on one end of an edge; there the edge
 table is the left side of the anti join, which adaptive execution splits when one vertex holds
-very many edges. The changes are measured first (rows, then ids if the rows are few): few are broadcast,
-so that the label table is not shuffled, and many are joined by shuffle.
+very many edges. The changes are written to the shared folder once, with their keys, and measured on the way; the new table
+and the rejected rows both come from that copy, so a feed that gives other rows when it is read again can not
+make them disagree. Few changes are broadcast, so that the label table is not shuffled, and many are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ from graphtables.model import (
     require_columns,
     spark_type,
 )
-from graphtables.session import join_side, materialize, size_of
+from graphtables.session import join_side, materialize_measured
 from graphtables.sources.scan import scan
 
 REASON = "reason"
 _REASON = "_reason"
+#: Marks the rows of a delta whose key is deleted.
+GONE = "_gone"
 
 
 @dataclass(frozen=True)
@@ -153,14 +156,6 @@ def _keyed(changes: DataFrame, label: Label | None, write, ids) -> tuple[DataFra
     return keyed, list(props)
 
 
-def keyed_vertices(changes: DataFrame, label: Label | None, write: VertexWrite, vid_type: str):
-    return _keyed(changes, label, write, vertex_ids(write, vid_type))
-
-
-def keyed_edges(changes: DataFrame, label: Label | None, write: EdgeWrite, vid_type: str):
-    return _keyed(changes, label, write, edge_ids(write, vid_type))
-
-
 def rejected(keyed: DataFrame, key: list[str]) -> DataFrame:
     """The bad rows as ``raw ids (text), reason``."""
     return keyed.filter(F.col(_REASON).isNotNull()).select(
@@ -243,20 +238,104 @@ def _missing(current: DataFrame, keys: DataFrame, key: list[str], size: int) ->
     )
 
 
-def _change(current, keyed, key, props, write) -> tuple[DataFrame, DataFrame]:
-    rejects = rejected(keyed, key)
+# --- changes as they are kept ------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Feed:
+    """Change rows with their keys, written once: ``size`` bounds the bytes of what a join needs of them, ``parts`` are the parts
+    of a stored table that the good rows lie in (where a number of parts was given)."""
+
+    keyed: DataFrame
+    key: list[str]
+    props: list[str]
+    write: VertexWrite | EdgeWrite
+    rows: int
+    size: int
+    parts: list[int]
+
+    @property
+    def rejects(self) -> DataFrame:
+        return rejected(self.keyed, self.key)
+
+    def accepted(self) -> DataFrame:
+        return accepted(self.keyed, self.key, self.props, self.write)
+
+    def keys(self) -> DataFrame:
+        return _good(self.keyed, self.key).select(*self.key).distinct()
+
+
+def part_of_key(key: list[str], n_parts: int) -> Column:
+    """The part of a key, from 0. It is the hash by which Spark deals rows to tasks, so where the number of shuffle
+    partitions is a multiple of the number of parts, the rows of a shuffle by key lie in one part per task."""
+    return F.pmod(F.hash(*key), F.lit(n_parts))
+
+
+def settled_feed(space: Space, kind: str, label: str | None, changes: DataFrame, write, n_parts: int = 1) -> Feed:
+    """The changes, written to the shared folder and measured while they are."""
+    described = None if label is None else space.label(kind, label)
+    ids = vertex_ids if kind == VERTEX else edge_ids
+    keyed, props = _keyed(changes, described, write, ids(write, space.vid_type))
+    key = VERTEX_KEY if kind == VERTEX else EDGE_KEY
+    void = {f.name: F.col(f.name).cast("string") for f in keyed.schema.fields if isinstance(f.dataType, T.NullType)}
     # An update carries its properties into the join, any other change only its keys.
-    size = size_of(keyed, [*key, *(props if write.mode == "update" else [])])
-    if write.mode == "insert":
-        change = upsert if write.overwrite else insert_absent
-        return change(current, accepted(keyed, key, props, write), key, size), rejects
-    keys = _good(keyed, key).select(*key).distinct()
-    if write.mode == "delete":
-        return delete(current, keys, key, size), rejects
+    needed = [*key, *(props if write.mode == "update" else [])]
+    part = F.when(F.col(_REASON).isNull(), part_of_key(key, n_parts))
+    keyed, seen = materialize_measured(keyed.withColumns(void), "feed", needed, parts=F.collect_set(part))
+    return Feed(keyed, key, props, write, seen["rows"], seen["size"], sorted(seen["parts"]))
+
+
+def _change(current: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
+    key, props, size = feed.key, feed.props, feed.size
+    if feed.write.mode == "insert":
+        change = upsert if feed.write.overwrite else insert_absent
+        return change(current, feed.accepted(), key, size), feed.rejects
+    if feed.write.mode == "delete":
+        return delete(current, feed.keys(), key, size), feed.rejects
     if not props:
         raise ValueError("an update needs at least one property")
-    table = update(current, accepted(keyed, key, props, write), key, props, size)
-    return table, rejects.unionByName(_missing(current, keys, key, size))
+    table = update(current, feed.accepted(), key, props, size)
+    return table, feed.rejects.unionByName(_missing(current, feed.keys(), key, size))
+
+
+def _marked(rows: DataFrame, gone: bool) -> DataFrame:
+    return rows.withColumn(GONE, F.lit(gone))
+
+
+def delta(current: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
+    """What a change leaves behind: whole new rows, and keys that are gone (``_gone``); one row per key. And the rejects.
+
+    An insert that overwrites and a delete do not look at the table at all.
+    """
+    key, size = feed.key, feed.size
+    if feed.write.mode == "delete":
+        return _marked(_complete(feed.keys(), current), True), feed.rejects
+    if feed.write.mode == "update":
+        if not feed.props:
+            raise ValueError("an update needs at least one property")
+        # only rows that an update hits are looked at, so the join is an inner one
+        found = current.join(join_side(feed.keys(), size), key, "left_semi")
+        rejects = feed.rejects.unionByName(_missing(current, feed.keys(), key, size))
+        return _marked(update(found, feed.accepted(), key, feed.props, size), False), rejects
+    new = feed.accepted()
+    if not feed.write.overwrite:
+        new = new.join(join_side(_held(current, new.select(*key), key, size), size), key, "left_anti")
+    return _marked(_complete(new, current), False), feed.rejects
+
+
+def merged(current: DataFrame, changed: DataFrame, key: list[str], size: int) -> DataFrame:
+    """``current`` with a delta (one row per key) applied. ``size`` bounds the bytes of the delta's keys."""
+    kept = current.join(join_side(changed.select(*key), size), key, "left_anti")
+    return kept.unionByName(changed.filter(~F.col(GONE)).select(*current.columns))
+
+
+def incident(edges: DataFrame, vertices: DataFrame, size: int) -> DataFrame:
+    """The keys of the edges that start or end at one of ``vertices`` (column ``_vertexId``), each once."""
+    ends = [
+        edges.select(*EDGE_KEY).join(join_side(vertices.select(F.col("_vertexId").alias(end)), size), end, "left_semi").select(*EDGE_KEY)
+        for end in ("_srcId", "_dstId")
+    ]
+    return ends[0].unionByName(ends[1]).distinct()
 
 
 # --- entry points -----------------------------------------------------------------------------
@@ -269,24 +348,20 @@ def mutate_vertices(
 
     A delete takes no label. With ``delete_edge`` it also removes every edge at either end.
     """
+    feed = settled_feed(space, VERTEX, None if write.mode == "delete" else label, changes, write)
     if write.mode == "delete":
-        keyed, _ = keyed_vertices(changes, None, write, space.vid_type)
         # The ids meet every table of the space, so they are worked out once. Read back, they lie
         # under no aggregation, which would keep Spark from splitting hubs.
-        gone = materialize(_good(keyed, VERTEX_KEY).select("_vertexId").distinct(), "gone")
-        size = size_of(gone)
+        gone, seen = materialize_measured(feed.keys(), "gone")
         tables = {
-            (VERTEX, name): delete(scan(space, VERTEX, name), gone, VERTEX_KEY, size)
+            (VERTEX, name): delete(scan(space, VERTEX, name), gone, VERTEX_KEY, seen["size"])
             for name in space.names(VERTEX)
         }
         if write.delete_edge:
             for name in space.names(EDGE):
-                tables[(EDGE, name)] = drop_incident(scan(space, EDGE, name), gone, size)
-        return Mutation(tables, rejected(keyed, VERTEX_KEY))
-    keyed, props = keyed_vertices(
-        changes, space.label(VERTEX, label), write, space.vid_type
-    )
-    table, rejects = _change(scan(space, VERTEX, label), keyed, VERTEX_KEY, props, write)
+                tables[(EDGE, name)] = drop_incident(scan(space, EDGE, name), gone, seen["size"])
+        return Mutation(tables, feed.rejects)
+    table, rejects = _change(scan(space, VERTEX, label), feed)
     return Mutation({(VERTEX, label): table}, rejects)
 
 
@@ -301,8 +376,7 @@ def drop_incident(edges: DataFrame, vertices: DataFrame, size: int) -> DataFrame
 
 def mutate_edges(space: Space, label: str, changes: DataFrame, write: EdgeWrite) -> Mutation:
     """Insert, update or delete rows of one edge label, keyed by source, target and rank."""
-    keyed, props = keyed_edges(changes, space.label(EDGE, label), write, space.vid_type)
-    table, rejects = _change(scan(space, EDGE, label), keyed, EDGE_KEY, props, write)
+    table, rejects = _change(scan(space, EDGE, label), settled_feed(space, EDGE, label, changes, write))
     return Mutation({(EDGE, label): table}, rejects)
 
 

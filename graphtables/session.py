@@ -7,7 +7,7 @@ import uuid
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # What a row takes in a broadcast besides the bytes of its values.
@@ -64,11 +64,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _width(cols) -> Column:
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cols]
+    return reduce(lambda a, b: a + b, sizes, F.lit(ROW_BYTES)).cast("bigint")
+
+
+def materialize_measured(df: DataFrame, name: str, cols=None, **more: Column) -> tuple[DataFrame, dict]:
+    """``df`` as in :func:`materialize`, and what was seen of its rows while they were written.
+
+    That is ``rows``, ``size`` (a bound of the bytes that ``cols``, all by default, take) and the aggregates in ``more``.
+    """
+    seen = Observation()
+    total = F.coalesce(F.sum(_width(df.columns if cols is None else cols)), F.lit(0)).alias("size")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), total, *[c.alias(n) for n, c in more.items()])
+    return materialize(watched, name), seen.get
+
+
 def measure(df: DataFrame, cols=None) -> tuple[int, int]:
     """Rows of ``df`` and an upper bound of the bytes that ``cols`` (all by default) take."""
-    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cols or df.columns]
-    width = reduce(lambda a, b: a + b, sizes, F.lit(ROW_BYTES)).cast("bigint")
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(cols or df.columns)), F.lit(0))).first()
     return rows, size
 
 

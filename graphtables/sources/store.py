@@ -1,11 +1,15 @@
 """A space kept as parquet tables, with versions that switch in one step.
 
-Every label table lies in a directory of its own that is written once and never changed. A
-version is a small file that names the directory of each label. Its name can be created once only,
+The rows of a label lie in parts by the hash of their key. A version is a small file that names, for each label, the folder of each
+part and the deltas that came after: few changes on a large label are kept as a delta (whole new rows, and keys that
+are gone), which costs what the changes cost, and is merged when the label is read. Deltas that have grown are merged into the
+parts that they touch; other parts stay the files they are. Nothing that is written is ever changed, so every version can be
+read until it is cleared away.
+
+The name of a version's file can be created once only,
 so of two writers that start from one version the second is told so and changes nothing; a file that
 is not whole (its writer died) counts as no version, and the next writer replaces it. Changes may be logged first,
-batch by batch, and folded into a new version later, so that small batches do not each rewrite a
-large table.
+batch by batch, and folded into a new version later.
 """
 
 from __future__ import annotations
@@ -16,15 +20,29 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphtables.model import MAX_UPDATE_BATCH, VERTEX, EdgeWrite, Label, Space, VertexWrite
-from graphtables.operators.mutate import Mutation, mutate_edges, mutate_vertices
+from graphtables.model import EDGE, MAX_UPDATE_BATCH, VERTEX, EdgeWrite, Label, Space, VertexWrite
+from graphtables.operators.mutate import (
+    GONE,
+    Mutation,
+    delta,
+    incident,
+    latest_per_key,
+    merged,
+    mutate_edges,
+    mutate_vertices,
+    part_of_key,
+    settled_feed,
+)
+from graphtables.session import ROW_BYTES, join_side, materialize_measured
 from graphtables.sources.scan import scan
 
 BATCH = "_batch"
+PART = "_part"
+SEQ = "_seq"
 # Fixed value: rows of a batch where text options don't say.
 RAW_BATCH = 1000
 
@@ -37,12 +55,19 @@ class Version:
 
 
 class Store:
-    """The versions of one space below ``root``, on any Hadoop file system that can rename."""
+    """The versions of one space below ``root``, on any Hadoop file system that can rename.
+
+    A label lies in ``space.n_parts`` parts; a number that divides spark.sql.shuffle.partitions saves a shuffle at writing.
+    Deltas of a label are merged into its parts when they take more than ``delta_share`` of the bytes of the parts, or are more
+    than ``max_deltas``.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, space: Space):
+    def __init__(self, spark: SparkSession, root: str, space: Space, delta_share: float = 0.25, max_deltas: int = 32):
         self.spark = spark
         self.root = root.rstrip("/")
         self.space = space
+        self.delta_share = delta_share
+        self.max_deltas = max_deltas
 
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
@@ -57,14 +82,16 @@ class Store:
     def current(self) -> Version:
         """The newest version; version 0, which has no tables, when nothing is committed."""
         names = sorted((n for n in self._names("versions") if n.endswith(".json")), reverse=True)
-        for name in names:
-            # One small file with one line: the list of the labels of a space.
-            line = self.spark.read.text(f"{self.root}/versions/{name}", wholetext=True).first()
-            try:
-                return Version(**json.loads(line[0] if line else ""))
-            except ValueError:
-                continue
-        return Version()
+        found = (self._version(name) for name in names)
+        return next((v for v in found if v is not None), Version())
+
+    def _version(self, name: str) -> Version | None:
+        """A version from its file; None when that is not whole. The file has one line: the parts of the labels of a space."""
+        line = self.spark.read.text(f"{self.root}/versions/{name}", wholetext=True).first()
+        try:
+            return Version(**json.loads(line[0] if line else ""))
+        except ValueError:
+            return None
 
     def _commit(self, version: Version) -> Version:
         fs = self._fs()
@@ -83,38 +110,122 @@ class Store:
             out.close()
         return version
 
+    # --- tables of a version --------------------------------------------------------------------
+
+    def _bytes(self, path: str) -> int:
+        return self._fs().getContentSummary(self._path(path)).getLength()
+
+    def _write_parts(self, kind: str, name: str, df: DataFrame, key: list[str], n_parts: int) -> dict[str, dict]:
+        """Rows as parts in a new folder: number of the part -> its path below the root and its bytes."""
+        folder = f"{kind}/{name}/{uuid.uuid4().hex}"
+        dealt = df.withColumn(PART, part_of_key(key, n_parts))
+        if int(self.spark.conf.get("spark.sql.shuffle.partitions")) % n_parts:
+            dealt = dealt.hint("rebalance", PART)  # tasks would hold rows of all parts, each in a file of its own
+        dealt.write.partitionBy(PART).parquet(f"{self.root}/{folder}")
+        names = [n for n in self._names(folder) if n.startswith(f"{PART}=")]
+        return {n.split("=")[1]: {"path": f"{folder}/{n}", "bytes": self._bytes(f"{folder}/{n}")} for n in names}
+
+    def _entry(self, kind: str, name: str, df: DataFrame) -> dict:
+        """A label's table, written whole."""
+        label, n_parts = self.space.label(kind, name), self.space.n_parts
+        parts = self._write_parts(kind, name, df, label.key, n_parts)
+        return {"schema": df.schema.json(), "props": label.props, "n_parts": n_parts, "parts": parts, "deltas": []}
+
+    def _base(self, entry: dict, parts=None) -> DataFrame:
+        """The rows of the parts as they were written, all or some."""
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        paths = [f"{self.root}/{p['path']}" for n, p in entry["parts"].items() if parts is None or int(n) in parts]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _deltas(self, entry: dict, key: list[str], parts=None) -> tuple[DataFrame, int] | None:
+        """The deltas of a table as one, the last row of each key, and a bound of the bytes of their keys."""
+        some = [d for d in entry["deltas"] if parts is None or set(parts) & set(d["parts"])]
+        if not some:
+            return None
+        schema = T.StructType.fromJson(json.loads(entry["schema"])).add(GONE, T.BooleanType()).add(SEQ, T.LongType())
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/{d['path']}" for d in some])
+        if parts is not None:
+            rows = rows.filter(part_of_key(key, entry["n_parts"]).isin(list(parts)))
+        if len(some) > 1:
+            rows = latest_per_key(rows, key, [SEQ])
+        return rows.drop(SEQ), sum(d["key_bytes"] for d in some)
+
+    def _table(self, entry: dict, key: list[str], parts=None) -> DataFrame:
+        """The rows of a table, or of some of its parts."""
+        base, later = self._base(entry, parts), self._deltas(entry, key, parts)
+        return base if later is None else merged(base, later[0], key, later[1])
+
+    def _with_delta(self, entry: dict, kind: str, name: str, rows: DataFrame, size: int) -> dict:
+        """A table's entry with a delta more. ``size`` bounds the bytes of the rows that lead to it.
+
+        A table without rows takes them as its parts, and where the change is large against the table the parts
+        that it touches are written anew at once.
+        """
+        key, n_parts = self.space.label(kind, name).key, entry["n_parts"]
+        base = sum(p["bytes"] for p in entry["parts"].values())
+        if not base and not entry["deltas"]:
+            return {**entry, "parts": self._write_parts(kind, name, rows.filter(~F.col(GONE)).drop(GONE), key, n_parts)}
+        seq = 1 + max([d["seq"] for d in entry["deltas"]], default=0)
+        folder = f"{kind}/{name}/delta-{uuid.uuid4().hex}"
+        # few rows: as many files as bytes ask for, not as tasks made them
+        packed = rows.withColumn(SEQ, F.lit(seq).cast("bigint")).hint("rebalance")
+        seen = self._write_observed(packed, folder, key, n_parts)
+        if not seen["rows"]:
+            return entry
+        new = {"path": folder, "seq": seq, "bytes": self._bytes(folder), "key_bytes": seen["size"], "parts": sorted(seen["parts"])}
+        entry = {**entry, "deltas": [*entry["deltas"], new]}
+        grown = sum(d["bytes"] for d in entry["deltas"]) > self.delta_share * base and size > ROW_BYTES * self.max_deltas
+        return self._compacted(entry, kind, name) if grown or len(entry["deltas"]) > self.max_deltas else entry
+
+    def _write_observed(self, rows: DataFrame, folder: str, key: list[str], n_parts: int) -> dict:
+        seen = Observation()
+        width = sum((F.octet_length(F.col(k).cast("string")) for k in key), F.lit(ROW_BYTES)).cast("bigint")
+        rows.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size"),
+            F.collect_set(part_of_key(key, n_parts)).alias("parts"),
+        ).write.parquet(f"{self.root}/{folder}")
+        return seen.get
+
+    def _compacted(self, entry: dict, kind: str, name: str) -> dict:
+        """The deltas of a table merged into the parts that they touch; the other parts stay as they are."""
+        touched = {p for d in entry["deltas"] for p in d["parts"]}
+        if not touched:
+            return entry
+        key = self.space.label(kind, name).key
+        new = self._write_parts(kind, name, self._table(entry, key, touched), key, entry["n_parts"])
+        stay = {n: p for n, p in entry["parts"].items() if int(n) not in touched}
+        return {**entry, "parts": {**stay, **new}, "deltas": []}
+
+    # --- versions -------------------------------------------------------------------------------
+
     def write(
         self, tables: dict[tuple[str, str], DataFrame], folded=None, base: Version | None = None
     ) -> Version:
-        """Write the given label tables and switch to a version that holds them.
+        """Write the given label tables whole and switch to a version that holds them.
 
         The tables come out of a scan or a mutation of ``base``, by default the newest version; when another
         writer has committed since, this raises and nothing changes. Labels that are not given keep
-        the directory they have.
+        the files they have.
         """
         old = base or self.current()
-        entries = dict(old.tables)
-        for (kind, name), df in tables.items():
-            label = self.space.label(kind, name)
-            path = f"{self.root}/{kind}/{name}/{uuid.uuid4().hex}"
-            df.write.parquet(path)
-            entries[f"{kind}/{name}"] = {
-                "path": path,
-                "schema": df.schema.json(),
-                "props": label.props,
-            }
-        return self._commit(Version(old.number + 1, entries, {**old.folded, **(folded or {})}))
+        entries = {f"{kind}/{name}": self._entry(kind, name, df) for (kind, name), df in tables.items()}
+        return self._switch(old, entries, folded)
+
+    def _switch(self, old: Version, entries: dict[str, dict], folded=None) -> Version:
+        return self._commit(Version(old.number + 1, {**old.tables, **entries}, {**old.folded, **(folded or {})}))
 
     def read(self, version: Version | None = None) -> Space:
         """The space with the tables of a version, by default the newest."""
-        from pyspark.sql.types import StructType
+        return self._space((version or self.current()).tables)
 
+    def _space(self, tables: dict[str, dict], parts: dict[str, list[int]] | None = None) -> Space:
+        """The space with the given tables, of some only the parts that are named."""
         space = Space(self.space.name, self.space.vid_type, self.space.n_parts)
-        for key, entry in (version or self.current()).tables.items():
+        for key, entry in tables.items():
             kind, name = key.split("/", 1)
-            schema = StructType.fromJson(json.loads(entry["schema"]))
-            df = self.spark.read.schema(schema).parquet(entry["path"])
-            space = space.with_table(Label(name, kind, entry["props"]), df, as_read=True)
+            label = Label(name, kind, entry["props"])
+            df = self._table(entry, label.key, (parts or {}).get(key))
+            space = space.with_table(label, df, as_read=True)
         return space
 
     def save_space(self, space: Space) -> Version:
@@ -122,11 +233,90 @@ class Store:
         return self.write({key: scan(space, *key) for key in space.labels})
 
     def apply(self, kind: str, label: str | None, changes: DataFrame, how) -> Mutation:
-        """Apply changes to the newest version and switch; the rejects come back."""
+        """Apply changes to the newest version and switch; the new tables and the rejects come back."""
         base = self.current()
-        mutation = _mutate(self.read(base), kind, label, changes, how)
-        self.write(mutation.tables, base=base)
-        return mutation
+        entries, rejects = self._changed(self.read(base), base.tables, kind, label, changes, how)
+        space = self._space(self._switch(base, entries).tables)
+        keys = [tuple(k.split("/", 1)) for k in entries]
+        return Mutation({k: scan(space, *k) for k in keys}, rejects)
+
+    def _changed(self, space: Space, tables: dict, kind: str, label: str | None, changes: DataFrame, how) -> tuple[dict, DataFrame]:
+        """The entries of the tables that the changes touch, written, and the rejects.
+
+        ``space`` has the labels of ``tables``. Only parts that the keys of the changes lie in are read, and only where the rows
+        that are there matter; edges at deleted vertices are looked for among the keys of all edges.
+        """
+        if kind != VERTEX or how.mode != "delete":
+            entry = tables[f"{kind}/{label}"]
+            feed = settled_feed(space, kind, label, changes, how, entry["n_parts"])
+            rows, rejects = delta(scan(self._space({f"{kind}/{label}": entry}, {f"{kind}/{label}": feed.parts}), kind, label), feed)
+            return {f"{kind}/{label}": self._with_delta(entry, kind, label, rows, feed.size)}, rejects
+        # vertices are deleted from all labels
+        feed = settled_feed(space, VERTEX, None, changes, how)
+        gone, seen = materialize_measured(feed.keys(), "gone")
+        entries = {}
+        for a_kind, name in space.labels:
+            key = f"{a_kind}/{name}"
+            table = scan(space, a_kind, name)
+            if a_kind == VERTEX:
+                found = table.select("_vertexId").join(join_side(gone, seen["size"]), "_vertexId", "left_semi")
+            elif how.delete_edge:
+                found = incident(table, gone, seen["size"])
+            else:
+                continue
+            rows = found.select(
+                *[F.col(c) if c in found.columns else F.lit(None).cast(table.schema[c].dataType).alias(c) for c in table.columns],
+                F.lit(True).alias(GONE),
+            )
+            new = self._with_delta(tables[key], a_kind, name, rows, seen["size"])
+            if new is not tables[key]:
+                entries[key] = new
+        return entries, feed.rejects
+
+    def compact(self, kind: str, label: str) -> Version:
+        """A version in which the deltas of a label are merged into its parts."""
+        base = self.current()
+        entry = base.tables[f"{kind}/{label}"]
+        if not entry["deltas"]:
+            return base
+        return self._switch(base, {f"{kind}/{label}": self._compacted(entry, kind, label)})
+
+    def fetch(self, kind: str, label: str, keys: DataFrame, cols=()) -> DataFrame:
+        """The rows of a label whose keys are listed in ``keys``; only files of the parts of those keys are read."""
+        base = self.current()
+        entry, own = base.tables[f"{kind}/{label}"], self.space.label(kind, label)
+        n_parts = entry["n_parts"]
+        wanted, seen = materialize_measured(
+            keys.select(*[F.col(k).cast("bigint" if k == "_rank" else "string").alias(k) for k in own.key]).distinct(),
+            "wanted", parts=F.collect_set(part_of_key(own.key, n_parts)),
+        )
+        space = self._space({f"{kind}/{label}": entry}, {f"{kind}/{label}": seen["parts"]})
+        return scan(space, kind, label, cols).join(join_side(wanted, seen["size"]), own.key, "left_semi")
+
+    def clear_old(self, keep: int = 1) -> list[str]:
+        """Remove versions but the newest ``keep``, and files that none of these names. Not while a writer is at work, as what it
+        has written is not named yet. Returns the folders removed."""
+        if keep < 1:
+            raise ValueError("the newest version has to stay")
+        fs = self._fs()
+        names = sorted(n for n in self._names("versions") if n.endswith(".json"))
+        kept = [v for v in map(self._version, names) if v is not None][-keep:]
+        used = {p["path"] for v in kept for e in v.tables.values() for p in [*e["parts"].values(), *e["deltas"]]}
+        used |= {path.rsplit("/", 1)[0] for path in used if f"/{PART}=" in path}
+        removed = []
+        for name in names:
+            if kept and int(name.split(".")[0]) < kept[0].number:
+                fs.delete(self._path("versions", name), False)
+        for kind in (VERTEX, EDGE):
+            for label in self._names(kind):
+                for folder in self._names(f"{kind}/{label}"):
+                    inner = [f"{kind}/{label}/{folder}/{p}" for p in self._names(f"{kind}/{label}/{folder}") if p.startswith(f"{PART}=")]
+                    outer = f"{kind}/{label}/{folder}"
+                    unused = [p for p in inner if p not in used] if outer in used else [outer]
+                    for path in unused:
+                        fs.delete(self._path(path), True)
+                    removed += unused
+        return removed
 
     # --- logged changes -----------------------------------------------------------------------
 
@@ -203,12 +393,16 @@ class Store:
         return self._with_pending(base, frames, kind, label, how) if frames else None
 
     def fold(self, stream: str, kind: str, label: str | None, how) -> Version:
-        """Write a version that holds the pending changes of a stream, and clear away the batches it holds."""
+        """A version that holds the pending changes of a stream, as deltas; the batches it holds are cleared away."""
         base = self.current()
         frames, last = self.pending(stream)
         if frames:
-            mutation = self._with_pending(base, frames, kind, label, how)
-            base = self.write(mutation.tables, {stream: last}, base)
+            entries: dict[str, dict] = {}
+            for changes in frames:
+                tables = {**base.tables, **entries}
+                new, _ = self._changed(self._space(tables), tables, kind, label, changes, _batch_first(how))
+                entries |= new
+            base = self._switch(base, entries, {stream: last})
         self._clear(stream, base)
         return base
 

@@ -1,6 +1,7 @@
 import pytest
 
 from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space, VertexWrite
+from graphtables.operators.mutate import mutate_vertices
 from graphtables.sources.scan import scan
 from graphtables.sources.store import Store, Version, save, write_options
 from tests.fixtures import rows
@@ -211,3 +212,154 @@ def test_logged_batches(spark, store):
     store.log_changes("feed", 2, spark.createDataFrame([("1", "z", 0)], schema))
     store.fold("feed", VERTEX, "thing", how)
     assert things(store) == [("1", "z"), ("2", "newer"), ("3", "c")]
+
+
+# --- parts and deltas -------------------------------------------------------------------------
+
+WIDE = Label("wide", VERTEX, {"name": "STRING", "size": "INT64"})
+
+
+def filled(spark, tmp_path, n=5000, n_parts=8, **kwargs):
+    rows_of = spark.range(n).selectExpr("cast(id AS string) AS _vertexId", "repeat(md5(cast(id AS string)), 4) AS name", "id AS size")
+    links = spark.range(n).selectExpr("cast(id AS string) AS _srcId", "cast((id * 7) % 5000 AS string) AS _dstId", "0L AS _rank", "1.5D AS w")
+    space = Space("s", n_parts=n_parts).with_table(WIDE, rows_of, as_read=True).with_table(LINK, links, as_read=True)
+    store = Store(spark, str(tmp_path / "filled"), space, **kwargs)
+    store.save_space(space)
+    return store
+
+
+def written(store, before):
+    """The paths that the newest version names and ``before`` did not: of parts, and of deltas."""
+    def paths(version, what):
+        out = set()
+        for entry in version.tables.values():
+            held = entry[what]
+            out |= {x["path"] for x in (held.values() if isinstance(held, dict) else held)}
+        return out
+
+    now = store.current()
+    return [paths(now, what) - paths(before, what) for what in ("parts", "deltas")]
+
+
+def bytes_below(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def table(store, kind, name, version=None):
+    return rows(scan(store.read(version), kind, name))
+
+
+def test_rows_lie_in_the_part_of_their_key(spark, tmp_path):
+    store = filled(spark, tmp_path, 300)
+    entry = store.current().tables["vertex/wide"]
+    for n, part in entry["parts"].items():
+        held = spark.read.parquet(f"{store.root}/{part['path']}")
+        assert {r[0] for r in held.selectExpr("pmod(hash(_vertexId), 8)").distinct().collect()} == {int(n)}
+        # the number of shuffle partitions of the tests does not divide by 8, so rows were dealt out: a file or two per part
+        assert len(list((tmp_path / "filled" / part["path"]).glob("*.parquet"))) <= 2
+    assert sum(spark.read.parquet(f"{store.root}/{p['path']}").count() for p in entry["parts"].values()) == 300
+
+
+def test_a_small_change_writes_kilobytes_and_a_merge_writes_its_parts(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    first, whole = store.current(), bytes_below(tmp_path / "filled" / "vertex" / "wide")
+    one = spark.createDataFrame([("17", "new", 1)], "id string, name string, size long")
+    store.apply(VERTEX, "wide", one, VertexWrite("id"))
+    parts, deltas = written(store, first)
+    assert not parts and len(deltas) == 1
+    assert bytes_below(tmp_path / "filled" / deltas.pop()) < 4000 < whole / 20
+    got = table(store, VERTEX, "wide")
+    assert len(got) == 5000 and ("17", "new", 1) in got
+    store.compact(VERTEX, "wide")
+    parts, deltas = written(store, first)
+    assert len(parts) == 1 and not deltas
+    assert table(store, VERTEX, "wide") == got
+    assert len(table(store, VERTEX, "wide", first)) == 5000 and ("17", "new", 1) not in table(store, VERTEX, "wide", first)
+
+
+@pytest.mark.parametrize("how", [
+    VertexWrite("id"), VertexWrite("id", overwrite=False), VertexWrite("id", mode="update"), VertexWrite("id", mode="delete"),
+], ids=lambda h: f"{h.mode}-{h.overwrite}")
+def test_deltas_give_what_a_rewrite_gives(spark, tmp_path, how):
+    store = filled(spark, tmp_path, 400)
+    batches = [[("1", "a", 5), ("900", "b", 6), (None, "c", 7)], [("1", "d", 8), ("901", "e", 9), ("2", None, None)], [("900", "f", 1), ("3", "g", 2)]]
+    for batch in batches:
+        ch = spark.createDataFrame(batch, "id string, name string, size long")
+        ch = ch.select("id") if how.mode == "delete" else ch
+        wanted = mutate_vertices(store.read(), "wide", ch, how)
+        got = store.apply(VERTEX, "wide", ch, how)
+        assert table(store, VERTEX, "wide") == rows(wanted.table(VERTEX, "wide")) == rows(got.table(VERTEX, "wide"))
+        assert rows(got.rejects) == rows(wanted.rejects)
+    # where all keys are there already, nothing is inserted
+    assert len(store.current().tables["vertex/wide"]["deltas"]) == (3 if how.overwrite else 2)
+    before = table(store, VERTEX, "wide")
+    store.compact(VERTEX, "wide")
+    assert table(store, VERTEX, "wide") == before and not store.current().tables["vertex/wide"]["deltas"]
+
+
+def test_a_deleted_key_can_come_back(spark, tmp_path):
+    store = filled(spark, tmp_path, 50)
+    ch = spark.createDataFrame([("7", "again", 0)], "id string, name string, size long")
+    store.apply(VERTEX, "wide", ch.select("id"), VertexWrite("id", mode="delete"))
+    assert len(table(store, VERTEX, "wide")) == 49
+    m = store.apply(VERTEX, "wide", ch, VertexWrite("id", mode="update"))
+    assert rows(m.rejects) == [("7", "no_such_key")]
+    store.apply(VERTEX, "wide", ch, VertexWrite("id", overwrite=False))
+    assert ("7", "again", 0) in table(store, VERTEX, "wide")
+
+
+def test_vertices_go_with_their_edges_as_deltas(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    first = store.current()
+    ch = spark.createDataFrame([("14",), ("2",), ("none",)], "id string")
+    wanted = mutate_vertices(store.read(), None, ch, VertexWrite("id", mode="delete", delete_edge=True))
+    store.apply(VERTEX, None, ch, VertexWrite("id", mode="delete", delete_edge=True))
+    parts, deltas = written(store, first)
+    assert not parts and len(deltas) == 2
+    for kind, name in ((VERTEX, "wide"), (EDGE, "link")):
+        assert table(store, kind, name) == rows(wanted.table(kind, name))
+
+
+def test_large_changes_and_many_deltas_are_merged(spark, tmp_path):
+    store = filled(spark, tmp_path, 400, max_deltas=2)
+    many = spark.range(3000).selectExpr("cast(id AS string) AS id", "'x' AS name", "id AS size")
+    store.apply(VERTEX, "wide", many, VertexWrite("id"))
+    assert not store.current().tables["vertex/wide"]["deltas"] and len(table(store, VERTEX, "wide")) == 3000
+    for k in range(3):
+        store.apply(VERTEX, "wide", spark.createDataFrame([(str(k), "y", k)], "id string, name string, size long"), VertexWrite("id"))
+        assert len(store.current().tables["vertex/wide"]["deltas"]) == (k + 1) % 3
+    assert {r for r in table(store, VERTEX, "wide") if r[1] == "y"} == {("0", "y", 0), ("1", "y", 1), ("2", "y", 2)}
+
+
+def test_nothing_to_change(spark, tmp_path):
+    store = filled(spark, tmp_path, 30)
+    none = spark.createDataFrame([], "id string, name string, size long")
+    for how in (VertexWrite("id"), VertexWrite("id", mode="update"), VertexWrite("id", mode="delete", delete_edge=True)):
+        m = store.apply(VERTEX, "wide", none, how)
+        assert m.rejects.isEmpty() and len(table(store, VERTEX, "wide")) == 30
+    assert not store.current().tables["vertex/wide"]["deltas"]
+
+
+def test_a_fetch_reads_the_parts_of_its_keys(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    store.apply(EDGE, "link", spark.createDataFrame([("3", "21", 9.5)], "a string, b string, w double"), EdgeWrite("a", "b"))
+    keys = spark.createDataFrame([("3", "21", 0), ("3", "22", 0)], "_srcId string, _dstId string, _rank bigint")
+    got = store.fetch(EDGE, "link", keys, ["w"])
+    assert rows(got) == [("3", "21", 0, 9.5)]
+    every = len(scan(store.read(), EDGE, "link").inputFiles())
+    assert len(got.inputFiles()) <= every / 2
+
+
+def test_old_versions_are_cleared(spark, tmp_path):
+    store = filled(spark, tmp_path, 200)
+    ch = spark.createDataFrame([("5", "n", 0)], "id string, name string, size long")
+    store.apply(VERTEX, "wide", ch, VertexWrite("id"))
+    store.compact(VERTEX, "wide")
+    now, held = table(store, VERTEX, "wide"), bytes_below(tmp_path)
+    removed = store.clear_old()
+    # the part before the merge, the delta
+    assert len(removed) == 2 and bytes_below(tmp_path) < held
+    assert table(store, VERTEX, "wide") == now and store.current().number == 3
+    assert store.clear_old() == []
+    with pytest.raises(ValueError):
+        store.clear_old(0)
