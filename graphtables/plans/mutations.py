@@ -323,7 +323,7 @@ _INT_CHANGES = (
     " QUALIFY row_number() OVER (PARTITION BY _vertexId ORDER BY c_name DESC, c_acctbal DESC) = 1"
 )
 _KEY = "_srcId, _dstId, _rank"
-_LINE_FEED = (
+LINE_FEED_SQL = (
     "SELECT 'o' || l_orderkey AS _srcId, 'p' || l_partkey AS _dstId, (CASE WHEN l_returnflag = 'A'"
     " THEN l_linenumber + 10 ELSE l_linenumber END)::BIGINT AS _rank, -l_quantity AS l_quantity,"
     f" l_extendedprice, l_discount, {sql.as_date('l_shipdate')} AS l_shipdate,"
@@ -335,14 +335,14 @@ def _lines_picked(direction: str) -> str:
     names = [*CONTAINS_ORDER, "l_discount"]
     order = ", ".join(f"{n} {direction}" for n in names)
     return (
-        f"SELECT {_KEY}, l_quantity, l_extendedprice, l_discount, l_shipdate FROM ({_LINE_FEED})"
+        f"SELECT {_KEY}, l_quantity, l_extendedprice, l_discount, l_shipdate FROM ({LINE_FEED_SQL})"
         f" QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY {order}) = 1"
     )
 
 
 _LINE_UPDATE = (
     f"SELECT {_KEY}, q, d, l_extendedprice FROM (SELECT *, l_discount * 2 AS d, CASE WHEN"
-    f" l_discount > 0.05 THEN l_quantity END AS q FROM ({_LINE_FEED})) QUALIFY row_number() OVER"
+    f" l_discount > 0.05 THEN l_quantity END AS q FROM ({LINE_FEED_SQL})) QUALIFY row_number() OVER"
     f" (PARTITION BY {_KEY} ORDER BY l_extendedprice DESC, l_suppkey DESC, q DESC NULLS LAST,"
     " d DESC) = 1"
 )
@@ -404,7 +404,7 @@ ORACLE = {
     " CASE WHEN hit THEN ch.l_extendedprice ELSE cur.l_extendedprice END AS l_extendedprice,"
     " CASE WHEN hit THEN d ELSE cur.l_discount END AS l_discount, cur.l_shipdate"
     f" FROM cur LEFT JOIN ch USING ({_KEY})",
-    "delete_edges": f"SELECT * FROM ({sql.edge('contains')}) ANTI JOIN ({_LINE_FEED}) USING ({_KEY})",
+    "delete_edges": f"SELECT * FROM ({sql.edge('contains')}) ANTI JOIN ({LINE_FEED_SQL}) USING ({_KEY})",
     "mutation_rejects": _REJECTS,
     "mutation_reject_counts": f"SELECT reason, count(*) AS n_rows FROM ({_REJECTS}) GROUP BY reason",
     "mutate_generic": _INSERT_ORDERS,

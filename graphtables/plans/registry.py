@@ -8,11 +8,12 @@ from graphtables.plans import (
     mutations,
     scans,
     statements,
+    stored,
     streams,
     traversals,
 )
 
-GROUPS = (scans, expressions, mutations, statements, traversals, exports, streams)
+GROUPS = (scans, expressions, mutations, statements, traversals, exports, stored, streams)
 
 
 def queries() -> dict:

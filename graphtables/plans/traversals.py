@@ -38,22 +38,18 @@ def match_vertices(spark, sf_dir):
     return traverse.match_vertices(demo_space(spark, sf_dir, "customer"), "customer")
 
 
-def fetch_edges(spark, sf_dir):
+def line_keys(spark, sf_dir):
     """The returned lines by key; a key that was accepted anew has no edge."""
-    keys = (
-        contains_feed(spark, sf_dir)
-        .filter("l_returnflag <> 'N'")
-        .select(
-            F.col("order_id").alias("_srcId"),
-            F.col("part_id").alias("_dstId"),
-            F.when(F.col("l_returnflag") == "A", F.col("l_linenumber") + 10)
-            .otherwise(F.col("l_linenumber"))
-            .cast("bigint")
-            .alias("_rank"),
-        )
-    )
+    rank = F.when(F.col("l_returnflag") == "A", F.col("l_linenumber") + 10).otherwise(F.col("l_linenumber"))
+    return contains_feed(spark, sf_dir).filter("l_returnflag <> 'N'").select(
+        F.col("order_id").alias("_srcId"), F.col("part_id").alias("_dstId"), rank.cast("bigint").alias("_rank")
+    )
+
+
+def fetch_edges(spark, sf_dir):
+    """The returned lines by key."""
     space = demo_space(spark, sf_dir, "contains")
-    return traverse.fetch_edges(space, "contains", keys, ["l_quantity"])
+    return traverse.fetch_edges(space, "contains", line_keys(spark, sf_dir), ["l_quantity"])
 
 
 def subgraph_edges(spark, sf_dir):

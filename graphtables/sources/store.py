@@ -43,6 +43,9 @@ from graphtables.sources.scan import scan
 BATCH = "_batch"
 PART = "_part"
 SEQ = "_seq"
+VERSION = "_version"
+#: What a version did to a label that it wrote whole; otherwise the path of its delta, or nothing where it only merged deltas.
+WHOLE = "whole"
 # Fixed value: rows of a batch where text options don't say.
 RAW_BATCH = 1000
 
@@ -129,7 +132,7 @@ class Store:
         """A label's table, written whole."""
         label, n_parts = self.space.label(kind, name), self.space.n_parts
         parts = self._write_parts(kind, name, df, label.key, n_parts)
-        return {"schema": df.schema.json(), "props": label.props, "n_parts": n_parts, "parts": parts, "deltas": []}
+        return {"schema": df.schema.json(), "props": label.props, "n_parts": n_parts, "parts": parts, "deltas": [], "change": WHOLE}
 
     def _base(self, entry: dict, parts=None) -> DataFrame:
         """The rows of the parts as they were written, all or some."""
@@ -164,7 +167,8 @@ class Store:
         key, n_parts = self.space.label(kind, name).key, entry["n_parts"]
         base = sum(p["bytes"] for p in entry["parts"].values())
         if not base and not entry["deltas"]:
-            return {**entry, "parts": self._write_parts(kind, name, rows.filter(~F.col(GONE)).drop(GONE), key, n_parts)}
+            parts = self._write_parts(kind, name, rows.filter(~F.col(GONE)).drop(GONE), key, n_parts)
+            return {**entry, "parts": parts, "change": WHOLE}
         seq = 1 + max([d["seq"] for d in entry["deltas"]], default=0)
         folder = f"{kind}/{name}/delta-{uuid.uuid4().hex}"
         # few rows: as many files as bytes ask for, not as tasks made them
@@ -173,7 +177,7 @@ class Store:
         if not seen["rows"]:
             return entry
         new = {"path": folder, "seq": seq, "bytes": self._bytes(folder), "key_bytes": seen["size"], "parts": sorted(seen["parts"])}
-        entry = {**entry, "deltas": [*entry["deltas"], new]}
+        entry = {**entry, "deltas": [*entry["deltas"], new], "change": folder}
         grown = sum(d["bytes"] for d in entry["deltas"]) > self.delta_share * base and size > ROW_BYTES * self.max_deltas
         return self._compacted(entry, kind, name) if grown or len(entry["deltas"]) > self.max_deltas else entry
 
@@ -212,7 +216,23 @@ class Store:
         return self._switch(old, entries, folded)
 
     def _switch(self, old: Version, entries: dict[str, dict], folded=None) -> Version:
-        return self._commit(Version(old.number + 1, {**old.tables, **entries}, {**old.folded, **(folded or {})}))
+        number = old.number + 1
+        new = {key: {**entry, "version": number} for key, entry in entries.items()}
+        return self._commit(Version(number, {**old.tables, **new}, {**old.folded, **(folded or {})}))
+
+    def changes_of(self, version: Version, kind: str, label: str) -> DataFrame | None:
+        """What a version changed in a label: its columns, ``_gone`` (the key was deleted), ``_whole`` (the rows replace all that was
+        there) and ``_version``; None when it changed nothing."""
+        entry = version.tables.get(f"{kind}/{label}")
+        if entry is None or entry["version"] != version.number or entry["change"] is None:
+            return None
+        whole = entry["change"] == WHOLE
+        if whole:
+            rows = self._base(entry).withColumn(GONE, F.lit(False))
+        else:
+            schema = T.StructType.fromJson(json.loads(entry["schema"])).add(GONE, T.BooleanType())
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{entry['change']}")
+        return rows.withColumns({"_whole": F.lit(whole), VERSION: F.lit(version.number).cast("bigint")})
 
     def read(self, version: Version | None = None) -> Space:
         """The space with the tables of a version, by default the newest."""
@@ -279,7 +299,7 @@ class Store:
         entry = base.tables[f"{kind}/{label}"]
         if not entry["deltas"]:
             return base
-        return self._switch(base, {f"{kind}/{label}": self._compacted(entry, kind, label)})
+        return self._switch(base, {f"{kind}/{label}": {**self._compacted(entry, kind, label), "change": None}})
 
     def fetch(self, kind: str, label: str, keys: DataFrame, cols=()) -> DataFrame:
         """The rows of a label whose keys are listed in ``keys``; only files of the parts of those keys are read."""
@@ -301,8 +321,9 @@ class Store:
         fs = self._fs()
         names = sorted(n for n in self._names("versions") if n.endswith(".json"))
         kept = [v for v in map(self._version, names) if v is not None][-keep:]
-        used = {p["path"] for v in kept for e in v.tables.values() for p in [*e["parts"].values(), *e["deltas"]]}
-        used |= {path.rsplit("/", 1)[0] for path in used if f"/{PART}=" in path}
+        tables = [e for v in kept for e in v.tables.values()]
+        used = {p["path"] for e in tables for p in [*e["parts"].values(), *e["deltas"]]} | {e["change"] for e in tables}
+        used |= {path.rsplit("/", 1)[0] for path in used if path and f"/{PART}=" in path}
         removed = []
         for name in names:
             if kept and int(name.split(".")[0]) < kept[0].number:
@@ -397,12 +418,11 @@ class Store:
         base = self.current()
         frames, last = self.pending(stream)
         if frames:
-            entries: dict[str, dict] = {}
-            for changes in frames:
-                tables = {**base.tables, **entries}
-                new, _ = self._changed(self._space(tables), tables, kind, label, changes, _batch_first(how))
-                entries |= new
-            base = self._switch(base, entries, {stream: last})
+            for i, changes in enumerate(frames):
+                # frames differ in their columns: a version for each, and the last one says which batches are held
+                new, _ = self._changed(self.read(base), base.tables, kind, label, changes, _batch_first(how))
+                done = {stream: last if i + 1 == len(frames) else changes.agg(F.max(BATCH)).first()[0]}
+                base = self._switch(base, new, done)
         self._clear(stream, base)
         return base
 

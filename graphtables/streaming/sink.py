@@ -3,11 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from graphtables.model import VERTEX
+from graphtables.operators.mutate import edge_ids, vertex_ids
 from graphtables.sources.store import Store
 
 
+def latest_changes(changes: DataFrame, kind: str, vid_type: str, how) -> DataFrame:
+    """Of the rows of a key that a stream has brought so far the last by ``how.order_by`` (for an insert if absent the first).
+
+    The state of the stream holds that row for every key, so a row that arrives late does not win over a newer one
+    of an earlier batch. To be written in update mode: a batch has the keys that it met, each with its winner.
+    Ties are decided by the whole row. A row without a usable key stands for itself and its like.
+    """
+    keys, raw, reason = (vertex_ids if kind == VERTEX else edge_ids)(how, vid_type)
+    group = [F.coalesce(c.cast("string"), F.lit("")).alias(f"_key{i}") for i, c in enumerate(keys.values())]
+    group += [F.when(reason.isNotNull(), F.coalesce(c.cast("string"), F.lit(""))).alias(f"_raw{i}") for i, c in enumerate(raw.values())]
+    row = F.struct(*how.order_by, *[c for c in changes.columns if c not in how.order_by])
+    pick = F.min if how.mode == "insert" and not how.overwrite else F.max
+    return changes.groupBy(*group).agg(pick(row).alias("_row")).select("_row.*").select(*changes.columns)
+
+
 def mutate_from_stream(
     store: Store,
     changes: DataFrame,
@@ -16,12 +34,16 @@ def mutate_from_stream(
     label: str | None,
     how,
     fold_every: int = 0,
+    across_batches: bool = False,
 ) -> DataStreamWriter:
     """A writer that logs each micro-batch under its number and folds every ``fold_every``-th.
 
-    Logging costs as much as the batch, whatever the size of the table. A batch that is replayed
-    replaces its own log entry, or is skipped when a version holds it already. With 0 the caller
+    Logging costs as much as the batch, whatever the size of the table, and so does a fold, which keeps a delta. A batch that is
+    replayed replaces its own log entry, or is skipped when a version holds it already. With 0 the caller
     folds, for example once after ``availableNow``.
+
+    A later batch wins over an earlier one. With ``across_batches`` the order of ``how.order_by`` holds
+    over all batches instead (see :func:`latest_changes`), for a state of one row per key.
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
@@ -31,4 +53,7 @@ def mutate_from_stream(
         if fold_every and (batch_id + 1) % fold_every == 0:
             store.fold(stream, kind, label, how)
 
+    if across_batches:
+        changes = latest_changes(changes, kind, store.space.vid_type, how)
+        return changes.writeStream.outputMode("update").foreachBatch(take)
     return changes.writeStream.foreachBatch(take)
