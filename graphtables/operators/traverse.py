@@ -2,8 +2,9 @@
 
 The multi-hop queries work on keys alone and fetch properties at the end. Each hop is written
 to the shared folder and read back, which keeps the plan small and survives lost executors. The
-frontier is measured: a small one is broadcast and the edges are not shuffled, a large one is
-joined by shuffle, where adaptive execution splits hub vertices.
+frontier is measured: a small one is broadcast and the edges are not shuffled. When a large one is met and
+more hops follow, the edges are laid out at both ends once (see adjacency.py), and no later hop shuffles them; a
+single large hop is joined by shuffle, where adaptive execution splits hub vertices.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 
 from graphtables.functions import read_property
 from graphtables.model import EDGE, EDGE_KEY, Label, Space
-from graphtables.session import is_small, join_side, materialize, measure, size_of
+from graphtables.operators.adjacency import adjacency, beside, edges_of
+from graphtables.session import is_small, join_side, materialize_measured, size_of
 from graphtables.sources.scan import edge_keys, scan_edges, scan_vertices
 
 LABELLED_KEY = ["label", *EDGE_KEY]
@@ -84,24 +86,50 @@ def _neighbours(edges: DataFrame, frontier: DataFrame, size: int) -> DataFrame:
     return sides[0].unionByName(sides[1]).distinct()
 
 
-def _distinct_ids(df: DataFrame, name: str) -> DataFrame:
-    return materialize(df.select("vid").filter("vid is not null").distinct(), name)
+class Hops:
+    """Edges, and their layout at both ends once a frontier asked for it."""
 
+    def __init__(self, edges: DataFrame):
+        self.edges = edges
+        self.laid_out: DataFrame | None = None
 
-def _reached(edges: DataFrame, starts: DataFrame, hops: int) -> tuple[DataFrame, int]:
+    def near(self, frontier: DataFrame, size: int) -> DataFrame:
+        """The vertices one edge away from the frontier, in either direction; there are more hops to come."""
+        if self.laid_out is None and is_small(frontier.sparkSession, size):
+            return _neighbours(self.edges, frontier, size)
+        if self.laid_out is None:
+            self.laid_out = adjacency(self.edges)
+        return beside(self.laid_out, frontier).select(F.col("there").alias("vid")).distinct()
+
+    def at(self, vertices: DataFrame, size: int) -> DataFrame:
+        """The edges that have one of the vertices at an end, each once."""
+        if self.laid_out is not None:
+            return edges_of(beside(self.laid_out, vertices))
+        out = self.edges
+        for end in ("_srcId", "_dstId"):
+            side = vertices.select(F.col("vid").alias(end), F.lit(True).alias(f"{end}_near"))
+            out = out.join(join_side(side, size), end, "left")
+        return out.filter(F.col("_srcId_near") | F.col("_dstId_near")).select(*LABELLED_KEY)
+
+
+def _reached(edges: Hops, starts: DataFrame, hops: int) -> tuple[DataFrame, int]:
     """The vertices at most ``hops`` away and a bound of their bytes; ends when none is new."""
-    levels = [_distinct_ids(starts, "level0")]
-    sizes = [measure(levels[0])]
+    level, seen = materialize_measured(_ids(starts), "level0")
+    levels, sizes = [level], [seen]
     for hop in range(1, hops + 1):
         # An edge leads at most one level away, so only the last two levels can be met again.
-        known, known_size = _all_of(levels[-2:]), sum(size for _, size in sizes[-2:])
-        found = _neighbours(edges, levels[-1], sizes[-1][1])
-        new = found.join(join_side(known, known_size), "vid", "left_anti")
-        levels.append(materialize(new, f"level{hop}"))
-        sizes.append(measure(levels[-1]))
-        if sizes[-1][0] == 0:
+        known, known_size = _all_of(levels[-2:]), sum(s["size"] for s in sizes[-2:])
+        found = edges.near(levels[-1], sizes[-1]["size"])
+        level, seen = materialize_measured(found.join(join_side(known, known_size), "vid", "left_anti"), f"level{hop}")
+        levels.append(level)
+        sizes.append(seen)
+        if not seen["rows"]:
             break
-    return _all_of(levels), sum(size for _, size in sizes)
+    return _all_of(levels), sum(s["size"] for s in sizes)
+
+
+def _ids(df: DataFrame) -> DataFrame:
+    return df.select("vid").filter("vid is not null").distinct()
 
 
 def _all_of(levels: list[DataFrame]) -> DataFrame:
@@ -116,13 +144,8 @@ def subgraph_edges(space: Space, starts: DataFrame, steps: int, labels=None) ->
     """
     if steps <= 0:
         raise ValueError("steps must be positive")
-    edges = edge_keys(space, labels)
-    near, size = _reached(edges, starts, steps - 1)
-    out = edges
-    for end in ("_srcId", "_dstId"):
-        side = near.select(F.col("vid").alias(end), F.lit(True).alias(f"{end}_near"))
-        out = out.join(join_side(side, size), end, "left")
-    return out.filter(F.col("_srcId_near") | F.col("_dstId_near")).select(*LABELLED_KEY)
+    edges = Hops(edge_keys(space, labels))
+    return edges.at(*_reached(edges, starts, steps - 1))
 
 
 def _edge_id() -> Column:
@@ -132,18 +155,19 @@ def _edge_id() -> Column:
 def _distance_to(edges: DataFrame, targets: DataFrame, hops: int) -> tuple[DataFrame, int]:
     """Vertices from which a target can be reached in at most ``hops`` steps, with the least
     number of steps, and a bound of their bytes."""
-    levels = [_distinct_ids(targets, "target0")]
-    sizes = [measure(levels[0])]
+    level, seen = materialize_measured(_ids(targets), "target0")
+    levels, sizes = [level], [seen["size"]]
     for hop in range(1, hops + 1):
-        at = join_side(levels[-1].select(F.col("vid").alias("_dstId")), sizes[-1][1])
+        at = join_side(levels[-1].select(F.col("vid").alias("_dstId")), sizes[-1])
         before = edges.join(at, "_dstId", "left_semi").select(F.col("_srcId").alias("vid")).distinct()
-        seen = join_side(_all_of(levels), sum(size for _, size in sizes))
-        levels.append(materialize(before.join(seen, "vid", "left_anti"), f"target{hop}"))
-        sizes.append(measure(levels[-1]))
-        if sizes[-1][0] == 0:
+        known = join_side(_all_of(levels), sum(sizes))
+        level, seen = materialize_measured(before.join(known, "vid", "left_anti"), f"target{hop}")
+        levels.append(level)
+        sizes.append(seen["size"])
+        if not seen["rows"]:
             break
     steps = [level.withColumn("left", F.lit(i)) for i, level in enumerate(levels)]
-    return _all_of(steps), sum(size for _, size in sizes)
+    return _all_of(steps), sum(sizes)
 
 
 def all_paths(
@@ -160,9 +184,8 @@ def all_paths(
     keys = edge_keys(space, labels).select(*LABELLED_KEY)
     reach, size = _distance_to(keys.select("_srcId", "_dstId"), targets, max_hops - 1)
     useful = keys.join(join_side(reach.withColumnRenamed("vid", "_dstId"), size), "_dstId")
-    useful = materialize(useful.select("left", _edge_id().alias("edge")), "edges")
-    heads = _distinct_ids(starts, "heads")
-    edge_size, path_size = size_of(useful), size_of(heads)
+    useful, edge_seen = materialize_measured(useful.select("left", _edge_id().alias("edge")), "edges")
+    heads, seen = materialize_measured(_ids(starts), "heads")
     open_paths = heads.select(
         F.col("vid").alias("at"), F.array().cast(T.ArrayType(useful.schema["edge"].dataType)).alias("path")
     )
@@ -170,10 +193,10 @@ def all_paths(
     # The longest paths are left to the caller's own job: no later hop reads them.
     for hop in range(1, max_hops + 1):
         step = useful.filter(F.col("left") <= max_hops - hop).withColumn("at", F.col("edge._srcId"))
-        if is_small(useful.sparkSession, path_size):
+        if is_small(useful.sparkSession, seen["size"]):
             open_paths = F.broadcast(open_paths)
         else:
-            step = join_side(step, edge_size)
+            step = join_side(step, edge_seen["size"])
         longer = (
             open_paths.join(step, "at")
             .filter(~F.array_contains("path", F.col("edge")))
@@ -184,12 +207,11 @@ def all_paths(
             )
         )
         if hop < max_hops:
-            longer = materialize(longer, f"paths{hop}")
+            longer, seen = materialize_measured(longer, f"paths{hop}", ["at", "path"])
         found.append(longer.filter("there").select("path"))
         if hop < max_hops:
             open_paths = longer.select("at", "path")
-            path_size = size_of(open_paths)
-            if path_size == 0:
+            if not seen["rows"]:
                 break
     return _all_of(found)
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from graphtables.model import EDGE
+from graphtables.model import EDGE, VERTEX, Label, Space
 from graphtables.operators import traverse
 from graphtables.plans import sql
-from graphtables.plans.demo import contains_feed, demo_space, settled, table
+from graphtables.plans.demo import contains_feed, demo_space, prefixed, settled, table
 from graphtables.sources.scan import scan_vertices
 
 AROUND = ["in_region", "in_nation", "placed", "supplied_by"]
@@ -118,6 +119,44 @@ def flatten_edges(spark, sf_dir):
     return traverse.flatten_edges(results, label["contains"], ["l_quantity"])
 
 
+# --- a graph with cycles ------------------------------------------------------------------------
+
+
+def ring_space(spark, sf_dir) -> Space:
+    """The orders of each customer as a ring: from an order to the next one, to the one after that, and from the last to the first."""
+    along = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("own"), F.lead("o_orderkey").over(along).alias("next"), F.lead("o_orderkey", 2).over(along).alias("second"),
+        F.first("o_orderkey").over(whole).alias("first"),
+    )
+    back = F.when(F.col("next").isNull() & (F.col("own") != F.col("first")), F.col("first"))
+    ends = [F.struct(c.alias("to"), F.lit(i).cast("bigint").alias("_rank")) for i, c in enumerate((F.col("next"), F.col("second"), back))]
+    steps = placed.select("own", "first", "next", F.inline(F.array(*ends)))
+    edges = steps.filter("to IS NOT NULL").select(prefixed("o", "own").alias("_srcId"), prefixed("o", "to").alias("_dstId"), "_rank")
+    heads = placed.select(prefixed("o", "own").alias("_vertexId"), (F.col("own") == F.col("first")).alias("heads"), F.col("next").isNull().alias("ends"))
+    space = Space("rings").with_table(Label("turn", VERTEX, {"heads": "BOOL", "ends": "BOOL"}), heads)
+    return settled(space.with_table(Label("then", EDGE), edges), "then")
+
+
+def _turns(space, which: str):
+    return scan_vertices(space, "turn").filter(which).select(F.col("_vertexId").alias("vid"))
+
+
+def all_paths_cyclic(spark, sf_dir):
+    """Paths of up to four edges from the first order of a customer to the last one; some go round."""
+    space = ring_space(spark, sf_dir)
+    paths = traverse.all_paths(space, _turns(space, "heads"), _turns(space, "ends"), 4)
+    step = F.transform("path", lambda e: F.concat_ws("-", e["_srcId"], e["_rank"].cast("string"), e["_dstId"]))
+    return paths.select(F.array_join(step, " ").alias("path"))
+
+
+def subgraph_cyclic(spark, sf_dir):
+    """Three steps around the last orders."""
+    space = ring_space(spark, sf_dir)
+    return traverse.subgraph_edges(space, _turns(space, "ends"), 3)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -130,6 +169,8 @@ QUERIES = {
         subgraph_edges_with_props,
         all_paths_edges,
         all_paths_edges_three_hops,
+        all_paths_cyclic,
+        subgraph_cyclic,
         flatten_edges,
     )
 }
@@ -137,10 +178,10 @@ QUERIES = {
 _KEY = "_srcId, _dstId, _rank"
 
 
-def _subgraph_sql(labels, starts: str, steps: int) -> str:
+def _subgraph_sql(edges: str, starts: str, steps: int) -> str:
     """One level of vertices after another, then the edges with an end in one of them."""
     ctes = [
-        f"e AS ({sql.edge_union(labels)})",
+        f"e AS ({edges})",
         "adj AS (SELECT _srcId AS a, _dstId AS b FROM e UNION SELECT _dstId, _srcId FROM e)",
         f"v0 AS ({starts})",
     ]
@@ -165,6 +206,17 @@ _THREE_TIMES = (
     " l_linenumber::BIGINT AS _rank, l_quantity FROM lineitem"
 )
 
+_TURNS = (
+    "SELECT o_orderkey AS own, lead(o_orderkey) OVER along AS nxt, lead(o_orderkey, 2) OVER along AS second,"
+    " first(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS head"
+    " FROM orders WINDOW along AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"
+)
+_RINGS = (
+    f"SELECT 'then' AS label, 'o' || own AS _srcId, 'o' || there AS _dstId, rank::BIGINT AS _rank FROM ("
+    f"SELECT own, nxt AS there, 0 AS rank FROM ({_TURNS}) UNION ALL SELECT own, second, 1 FROM ({_TURNS})"
+    f" UNION ALL SELECT own, head, 2 FROM ({_TURNS}) WHERE nxt IS NULL AND own <> head) WHERE there IS NOT NULL"
+)
+
 ORACLE = {
     "match_edges": sql.edge("did", ["value"]),
     "match_edges_limit": f"SELECT * FROM ({sql.edge('did', ['value'])}) ORDER BY {_KEY}"
@@ -176,15 +228,22 @@ ORACLE = {
     "SELECT 'o' || l_orderkey AS _srcId, 'p' || l_partkey AS _dstId, CASE WHEN l_returnflag = 'A'"
     " THEN l_linenumber + 10 ELSE l_linenumber END AS _rank FROM lineitem"
     f" WHERE l_returnflag <> 'N') USING ({_KEY})",
-    "subgraph_edges": _subgraph_sql(AROUND, "SELECT 'r' || r_regionkey AS vid FROM region", 3),
+    "subgraph_edges": _subgraph_sql(sql.edge_union(AROUND), "SELECT 'r' || r_regionkey AS vid FROM region", 3),
     "subgraph_edges_with_props": f"SELECT {_KEY}, o_totalprice FROM ({sql.edge('placed')}) SEMI JOIN"
     " (SELECT * FROM ("
-    + _subgraph_sql(["placed", "in_nation"], "SELECT 'o' || o_orderkey AS vid FROM orders", 2)
+    + _subgraph_sql(sql.edge_union(["placed", "in_nation"]), "SELECT 'o' || o_orderkey AS vid FROM orders", 2)
     + f") WHERE label = 'placed') USING ({_KEY})",
     "all_paths_edges": "SELECT 'placed' AS label, a AS _srcId, b AS _dstId, 0::BIGINT AS _rank"
     f" FROM ({_PLACED_CONTAINS}) UNION ALL SELECT 'contains', b, d, r FROM ({_PLACED_CONTAINS})",
     "all_paths_edges_three_hops": "SELECT s._srcId || '->' || s._dstId || '->' || n._dstId || '->'"
     f" || r._dstId AS path FROM ({sql.edge('supplied_by', [])}) s JOIN ({sql.edge('in_nation', [])})"
     f" n ON s._dstId = n._srcId JOIN ({sql.edge('in_region', [])}) r ON n._dstId = r._srcId",
+    "all_paths_cyclic": f"WITH RECURSIVE e AS (SELECT *, _srcId || '-' || _rank || '-' || _dstId AS step FROM ({_RINGS})), p AS ("
+    "SELECT _dstId AS here, [step] AS path FROM e WHERE _srcId IN"
+    f" (SELECT 'o' || own FROM ({_TURNS}) WHERE own = head)"
+    " UNION ALL SELECT _dstId, list_append(path, step) FROM p JOIN e ON _srcId = here"
+    " WHERE len(path) < 4 AND NOT list_contains(path, step))"
+    f" SELECT array_to_string(path, ' ') AS path FROM p WHERE here IN (SELECT 'o' || own FROM ({_TURNS}) WHERE nxt IS NULL)",
+    "subgraph_cyclic": _subgraph_sql(_RINGS, f"SELECT 'o' || own AS vid FROM ({_TURNS}) WHERE nxt IS NULL", 3),
     "flatten_edges": f"{_THREE_TIMES} UNION ALL {_THREE_TIMES}",
 }

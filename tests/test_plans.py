@@ -1,9 +1,12 @@
 """What the plans look like at scale: pushed filters, narrow reads, no pairs, split hubs."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space, VertexWrite
+from graphtables.operators.adjacency import SALTS, adjacency, beside
 from graphtables.operators.export import graph_triplets
 from graphtables.operators.mutate import latest_per_key, mutate_edges, mutate_vertices
 from graphtables.operators.traverse import _neighbours, match_edges_from_tag, subgraph_edges
@@ -108,6 +111,45 @@ def test_hub_is_split_in_a_traversal(spark, shuffled_joins):
     assert "skew=true" in plan(met)
 
 
+def test_later_hops_do_not_move_the_edges(spark, shuffled_joins):
+    edges = materialize(edge_keys(hub_space(spark)), "edges")
+    table = adjacency(edges)
+    frontier = materialize(edges.select(F.col("_srcId").alias("vid")).distinct(), "frontier")
+    met = beside(table, frontier)
+    assert met.count() == 40_000
+    # one exchange, and it is that of the frontier
+    text = plan(met)
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text
+    # the hub lies in as many buckets as there are salts, or buckets at all
+    hub = table.filter("here = 'hub'").groupBy("salt").count().collect()
+    assert len(hub) == SALTS and max(r["count"] for r in hub) < 20_000 / SALTS * 1.3
+
+
+def test_subgraphs_of_cyclic_graphs_by_layout(spark, shuffled_joins):
+    draw = random.Random(4)
+    pairs = {(draw.randrange(60), draw.randrange(60), draw.randrange(2)) for _ in range(90)} | {(5, 5, 0), (0, 1, 0), (1, 2, 0), (2, 0, 0)}
+    frame = spark.createDataFrame([(str(a), str(b), r) for a, b, r in pairs], "_srcId string, _dstId string, _rank bigint")
+    space = Space("g").with_table(Label("e", EDGE), frame)
+    for start, steps in ((0, 2), (5, 3), (17, 9)):
+        near = {start}
+        for _ in range(steps - 1):
+            near |= {b for a, b, _ in pairs if a in near} | {a for a, b, _ in pairs if b in near}
+        want = sorted((str(a), str(b), r) for a, b, r in pairs if a in near or b in near)
+        met = subgraph_edges(space, spark.createDataFrame([(str(start),), (None,), (str(start),)], "vid string"), steps)
+        assert sorted(tuple(r)[1:] for r in met.collect()) == want
+        assert "Bucketed: true" in plan(met)
+
+
+def test_a_feed_is_read_once(spark, tmp_path):
+    """Table and rejects come from one copy of the feed, even if it gives other rows each time."""
+    space = Space("s").with_table(Label("t", VERTEX, {"v": "INT64"}), spark.createDataFrame([("0", 1)], "_vertexId string, v bigint"))
+    feed = spark.range(2000).select(F.when(F.rand() < 0.5, F.col("id").cast("string")).alias("id"), F.col("id").alias("v"))
+    m = mutate_vertices(space, "t", feed, VertexWrite("id"))
+    assert m.table(VERTEX, "t").filter("_vertexId <> '0'").count() + m.rejects.count() in (1999, 2000)
+    for df in (m.table(VERTEX, "t"), m.rejects):
+        assert "rand" not in plan(df) and "Range" not in plan(df)
+
+
 def test_hub_is_split_in_triplets(spark, shuffled_joins):
     edges = hub_edges(spark).select(
         F.xxhash64("_srcId").alias("src"),
