@@ -29,6 +29,19 @@ def export_edges_hash(spark, sf_dir):
     return df.select("src", "dst", F.col("attr.rank").alias("rank"), _text("attr.props").alias("props"))
 
 
+def id_dictionary(spark, sf_dir):
+    """Every id of users' events and of orders with a number of its own."""
+    space = demo_space(spark, sf_dir, "orders", "did")
+    return export.id_dictionary(space, [("vertex", "orders"), ("edge", "did")])
+
+
+def export_edges_numbered(spark, sf_dir):
+    """Text ids as their numbers in a dictionary."""
+    space = demo_space(spark, sf_dir, "did")
+    df = export.export_edges(space, "did", ["value"], ids=export.id_dictionary(space, [("edge", "did")]))
+    return df.select("src", "dst", F.col("attr.rank").alias("rank"), _text("attr.props").alias("props"))
+
+
 def graph_triplets(spark, sf_dir):
     """Customers and the orders they placed with what is known at both ends."""
     space = demo_space(spark, sf_dir, "customer", "orders", "placed")
@@ -48,10 +61,22 @@ def graph_triplets(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (export_vertices, export_edges, export_edges_hash, graph_triplets)
+    f.__name__: f
+    for f in (export_vertices, export_edges, export_edges_hash, export_edges_numbered, id_dictionary, graph_triplets)
 }
 
+
+
+def _dictionary_sql(*ids: str) -> str:
+    return f"SELECT vid, row_number() OVER (ORDER BY vid) - 1 AS id FROM ({' UNION '.join(ids)})"
+
+
+_DID_IDS = [f"SELECT {end} AS vid FROM ({sql.edge('did', [])})" for end in ("_srcId", "_dstId")]
+
 ORACLE = {
+    "id_dictionary": _dictionary_sql(f"SELECT _vertexId AS vid FROM ({sql.tag('orders', [])})", *_DID_IDS),
+    "export_edges_numbered": f"WITH ids AS ({_dictionary_sql(*_DID_IDS)}) SELECT s.id AS src, d.id AS dst, _rank AS rank,"
+    f" value::VARCHAR AS props FROM ({sql.edge('did')}) JOIN ids s ON s.vid = _srcId JOIN ids d ON d.vid = _dstId",
     "export_vertices": "SELECT c_custkey AS id, c_name || '|' || c_acctbal || '|' || c_mktsegment"
     " AS props FROM customer",
     "export_edges": "SELECT o_custkey AS src, o_orderkey AS dst, 0::BIGINT AS rank,"

@@ -1,6 +1,7 @@
 import pytest
 
 from graphtables.operators import export
+from graphtables.sources.scan import scan_edges
 from tests.fixtures import rows
 
 
@@ -43,3 +44,17 @@ def test_triplets(spark, int_graph):
     assert rows(triplets.select("src", "dst")) == rows(
         export.export_edges(int_graph, "friend").select("src", "dst")
     )
+
+
+def test_a_dictionary_is_a_bijection(spark, int_graph):
+    ids = export.id_dictionary(int_graph)
+    got = {r["vid"]: r["id"] for r in ids.collect()}
+    assert sorted(got) == [v for v, _ in sorted(got.items(), key=lambda x: x[1])]
+    assert sorted(got.values()) == list(range(len(got)))
+    edges = export.export_edges(int_graph, "friend", no_column=True, ids=ids).select("src", "dst").collect()
+    named = {n: v for v, n in got.items()}
+    assert sorted((named[a], named[b]) for a, b in edges) == sorted(
+        (r["_srcId"], r["_dstId"]) for r in scan_edges(int_graph, "friend", no_column=True).collect()
+    )
+    vertices = export.export_vertices(int_graph, "person", ["col1"], ids=ids)
+    assert vertices.count() == 18 and {named[r["id"]] for r in vertices.collect()} >= {"1", "12"}
