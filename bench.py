@@ -73,7 +73,8 @@ def seconds_of(action) -> float:
 
 
 def bulk_label(spark, kind: str, name: str, key: list[str], write) -> dict[str, int]:
-    """Rows per second of inserting copies of a label into an empty table and of reading it."""
+    """Rows per second of inserting copies of a label into an empty table, of as many rows more into the filled one, and of
+    reading it; and the seconds that a change of ten rows takes then."""
     source = demo_space(spark, SF_DIR, name)
     rows = scan(source, kind, name)
     copies = max(1, BULK_ROWS // rows.count())
@@ -85,7 +86,7 @@ def bulk_label(spark, kind: str, name: str, key: list[str], write) -> dict[str,
     feed.write.parquet(path)
     feed = spark.read.schema(feed.schema).parquet(path)
     label = source.label(kind, name)
-    empty = Space("bulk").with_table(label, rows.limit(0), as_read=True)
+    empty = Space("bulk", n_parts=int(CPUS)).with_table(label, rows.limit(0), as_read=True)
     store = Store(spark, scratch_path(spark, "bulk"), empty)
     store.save_space(empty)
     n = feed.count()
@@ -94,7 +95,11 @@ def bulk_label(spark, kind: str, name: str, key: list[str], write) -> dict[str,
         df = scan(store.read(), kind, name, no_column=no_column)
         sink = df.write.format("noop").mode("overwrite")
         took[f"read_{what}"] = min(seconds_of(sink.save) for _ in range(2))
-    return {f"{kind}_{what}": round(n / t) for what, t in took.items()}
+    more = feed.withColumn(first, F.concat(F.lit("m"), first))
+    took["insert_into_filled"] = seconds_of(lambda: store.apply(kind, name, more, write))
+    few = more.limit(10)
+    small = seconds_of(lambda: store.apply(kind, name, few, write))
+    return {**{f"{kind}_{what}": round(n / t) for what, t in took.items()}, f"{kind}_insert_of_ten_sec": round(small, 3)}
 
 
 def bulk(spark) -> dict[str, int]:

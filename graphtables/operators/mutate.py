@@ -135,7 +135,7 @@ def _is_text(property_type: str) -> bool:
 
 
 def _keyed(changes: DataFrame, label: Label | None, write, ids) -> tuple[DataFrame, list[str]]:
-    """Rows ``key, properties, _order_*, raw ids, _reason``; a reason marks a bad row."""
+    """Rows ``key, properties, _order_*, raw ids, _reason``; a reason marks a bad row, and only bad rows have raw ids."""
     props = _prop_columns(changes, label, write)
     keys, raw, reason = ids
     held = {f.name: f.dataType for f in changes.schema.fields}
@@ -146,12 +146,13 @@ def _keyed(changes: DataFrame, label: Label | None, write, ids) -> tuple[DataFra
         if isinstance(held[n], (T.StringType, T.NumericType))
         and (label.prop_type(n) in ("DATE", "DATETIME") or not _is_text(label.prop_type(n)))
     ]
+    why = F.coalesce(reason, *bad)
     keyed = changes.select(
         *[c.alias(n) for n, c in keys.items()],
         *[c.alias(n) for n, c in props.items()],
         *_ordering(write),
-        *[c.cast("string").alias(f"_raw{n}") for n, c in raw.items()],
-        F.coalesce(reason, *bad).alias(_REASON),
+        *[F.when(why.isNotNull(), c.cast("string")).alias(f"_raw{n}") for n, c in raw.items()],
+        why.alias(_REASON),
     )
     return keyed, list(props)
 

@@ -161,14 +161,17 @@ class Store:
     def _with_delta(self, entry: dict, kind: str, name: str, rows: DataFrame, size: int) -> dict:
         """A table's entry with a delta more. ``size`` bounds the bytes of the rows that lead to it.
 
-        A table without rows takes them as its parts, and where the change is large against the table the parts
-        that it touches are written anew at once.
+        A table without rows takes them as its parts, and a change that is larger than the table is merged as it is written. Deltas
+        that are large against the table by now are merged into the parts that they touch.
         """
         key, n_parts = self.space.label(kind, name).key, entry["n_parts"]
         base = sum(p["bytes"] for p in entry["parts"].values())
         if not base and not entry["deltas"]:
             parts = self._write_parts(kind, name, rows.filter(~F.col(GONE)).drop(GONE), key, n_parts)
             return {**entry, "parts": parts, "change": WHOLE}
+        if size > base * max(1.0, self.delta_share):  # it would be merged at once: its rows are not written twice
+            new = merged(self._table(entry, key), rows, key, size)
+            return {**entry, "parts": self._write_parts(kind, name, new, key, n_parts), "deltas": [], "change": WHOLE}
         seq = 1 + max([d["seq"] for d in entry["deltas"]], default=0)
         folder = f"{kind}/{name}/delta-{uuid.uuid4().hex}"
         # few rows: as many files as bytes ask for, not as tasks made them
