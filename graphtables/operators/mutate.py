@@ -4,7 +4,7 @@ Keys are unique in a label table and are made unique in the changes first, so th
 whole key cannot be skewed. The changes are shuffled once for that; the join with the label table
 and the rows that are added read the same shuffle. Only a cascading delete joins on one end of an edge; there the edge
 table is the left side of the anti join, which adaptive execution splits when one vertex holds
-very many edges. The changes are written to the shared folder once, with their keys, and measured on the way; the new table
+very many edges. The changes are written to the shared folder once, with their keys, and measured there; the new table
 and the rejected rows both come from that copy, so a feed that gives other rows when it is read again can not
 make them disagree. Few changes are broadcast, so that the label table is not shuffled, and many are joined by shuffle.
 """
@@ -36,6 +36,7 @@ from graphtables.sources.scan import scan
 
 REASON = "reason"
 _REASON = "_reason"
+_PART = "_part"
 #: Marks the rows of a delta whose key is deleted.
 GONE = "_gone"
 
@@ -113,19 +114,20 @@ def vertex_ids(write: VertexWrite, vid_type: str):
     return {"_vertexId": key}, {"_vertexId": vid}, _id_reason(vid, key, write.policy, vid_type)
 
 
-def edge_ids(write: EdgeWrite, vid_type: str):
+def edge_ids(write: EdgeWrite, vid_type: str, whole_rank: bool = False):
+    """As :func:`vertex_ids`. ``whole_rank`` says that the rank column is of an integer type, so its text needs no look."""
     src, dst = F.col(write.src_field), F.col(write.dst_field)
     rank = F.col(write.rank_field) if write.rank_field else None
     keys = {
         "_srcId": vid_key(src, write.src_policy, vid_type),
         "_dstId": vid_key(dst, write.dst_policy, vid_type),
-        "_rank": rank_value(rank),
+        "_rank": rank.cast("bigint") if whole_rank else rank_value(rank),
     }
     raw = {"_srcId": src, "_dstId": dst, "_rank": F.lit(0) if rank is None else rank}
     reason = F.coalesce(
         _id_reason(src, keys["_srcId"], write.src_policy, vid_type),
         _id_reason(dst, keys["_dstId"], write.dst_policy, vid_type),
-        _rank_reason(rank),
+        F.when(rank.isNull(), "null_key") if whole_rank else _rank_reason(rank),
     )
     return keys, raw, reason
 
@@ -251,7 +253,6 @@ class Feed:
     key: list[str]
     props: list[str]
     write: VertexWrite | EdgeWrite
-    rows: int
     size: int
     parts: list[int]
 
@@ -273,17 +274,22 @@ def part_of_key(key: list[str], n_parts: int) -> Column:
 
 
 def settled_feed(space: Space, kind: str, label: str | None, changes: DataFrame, write, n_parts: int = 1) -> Feed:
-    """The changes, written to the shared folder and measured while they are."""
+    """The changes, written to the shared folder and measured there."""
     described = None if label is None else space.label(kind, label)
-    ids = vertex_ids if kind == VERTEX else edge_ids
-    keyed, props = _keyed(changes, described, write, ids(write, space.vid_type))
+    if kind == VERTEX:
+        ids = vertex_ids(write, space.vid_type)
+    else:
+        types = {f.name: f.dataType for f in changes.schema.fields}
+        ids = edge_ids(write, space.vid_type, isinstance(types.get(write.rank_field), T.IntegralType))
+    keyed, props = _keyed(changes, described, write, ids)
     key = VERTEX_KEY if kind == VERTEX else EDGE_KEY
     void = {f.name: F.col(f.name).cast("string") for f in keyed.schema.fields if isinstance(f.dataType, T.NullType)}
     # An update carries its properties into the join, any other change only its keys.
     needed = [*key, *(props if write.mode == "update" else [])]
     part = F.when(F.col(_REASON).isNull(), part_of_key(key, n_parts))
-    keyed, seen = materialize_measured(keyed.withColumns(void), "feed", needed, parts=F.collect_set(part))
-    return Feed(keyed, key, props, write, seen["rows"], seen["size"], sorted(seen["parts"]))
+    keyed, _, size = materialize_measured(keyed.withColumns({**void, _PART: part}), "feed", needed)
+    parts = [] if n_parts == 1 else keyed.agg(F.sort_array(F.collect_set(_PART))).first()[0]
+    return Feed(keyed, key, props, write, size, parts)
 
 
 def _change(current: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
@@ -353,14 +359,14 @@ def mutate_vertices(
     if write.mode == "delete":
         # The ids meet every table of the space, so they are worked out once. Read back, they lie
         # under no aggregation, which would keep Spark from splitting hubs.
-        gone, seen = materialize_measured(feed.keys(), "gone")
+        gone, _, size = materialize_measured(feed.keys(), "gone")
         tables = {
-            (VERTEX, name): delete(scan(space, VERTEX, name), gone, VERTEX_KEY, seen["size"])
+            (VERTEX, name): delete(scan(space, VERTEX, name), gone, VERTEX_KEY, size)
             for name in space.names(VERTEX)
         }
         if write.delete_edge:
             for name in space.names(EDGE):
-                tables[(EDGE, name)] = drop_incident(scan(space, EDGE, name), gone, seen["size"])
+                tables[(EDGE, name)] = drop_incident(scan(space, EDGE, name), gone, size)
         return Mutation(tables, feed.rejects)
     table, rejects = _change(scan(space, VERTEX, label), feed)
     return Mutation({(VERTEX, label): table}, rejects)

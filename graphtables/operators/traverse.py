@@ -114,18 +114,18 @@ class Hops:
 
 def _reached(edges: Hops, starts: DataFrame, hops: int) -> tuple[DataFrame, int]:
     """The vertices at most ``hops`` away and a bound of their bytes; ends when none is new."""
-    level, seen = materialize_measured(_ids(starts), "level0")
-    levels, sizes = [level], [seen]
+    level, rows, size = materialize_measured(_ids(starts), "level0")
+    levels, sizes = [level], [size]
     for hop in range(1, hops + 1):
         # An edge leads at most one level away, so only the last two levels can be met again.
-        known, known_size = _all_of(levels[-2:]), sum(s["size"] for s in sizes[-2:])
-        found = edges.near(levels[-1], sizes[-1]["size"])
-        level, seen = materialize_measured(found.join(join_side(known, known_size), "vid", "left_anti"), f"level{hop}")
+        known = join_side(_all_of(levels[-2:]), sum(sizes[-2:]))
+        found = edges.near(levels[-1], sizes[-1])
+        level, rows, size = materialize_measured(found.join(known, "vid", "left_anti"), f"level{hop}")
         levels.append(level)
-        sizes.append(seen)
-        if not seen["rows"]:
+        sizes.append(size)
+        if not rows:
             break
-    return _all_of(levels), sum(s["size"] for s in sizes)
+    return _all_of(levels), sum(sizes)
 
 
 def _ids(df: DataFrame) -> DataFrame:
@@ -155,16 +155,16 @@ def _edge_id() -> Column:
 def _distance_to(edges: DataFrame, targets: DataFrame, hops: int) -> tuple[DataFrame, int]:
     """Vertices from which a target can be reached in at most ``hops`` steps, with the least
     number of steps, and a bound of their bytes."""
-    level, seen = materialize_measured(_ids(targets), "target0")
-    levels, sizes = [level], [seen["size"]]
+    level, rows, size = materialize_measured(_ids(targets), "target0")
+    levels, sizes = [level], [size]
     for hop in range(1, hops + 1):
         at = join_side(levels[-1].select(F.col("vid").alias("_dstId")), sizes[-1])
         before = edges.join(at, "_dstId", "left_semi").select(F.col("_srcId").alias("vid")).distinct()
         known = join_side(_all_of(levels), sum(sizes))
-        level, seen = materialize_measured(before.join(known, "vid", "left_anti"), f"target{hop}")
+        level, rows, size = materialize_measured(before.join(known, "vid", "left_anti"), f"target{hop}")
         levels.append(level)
-        sizes.append(seen["size"])
-        if not seen["rows"]:
+        sizes.append(size)
+        if not rows:
             break
     steps = [level.withColumn("left", F.lit(i)) for i, level in enumerate(levels)]
     return _all_of(steps), sum(sizes)
@@ -184,8 +184,8 @@ def all_paths(
     keys = edge_keys(space, labels).select(*LABELLED_KEY)
     reach, size = _distance_to(keys.select("_srcId", "_dstId"), targets, max_hops - 1)
     useful = keys.join(join_side(reach.withColumnRenamed("vid", "_dstId"), size), "_dstId")
-    useful, edge_seen = materialize_measured(useful.select("left", _edge_id().alias("edge")), "edges")
-    heads, seen = materialize_measured(_ids(starts), "heads")
+    useful, _, edge_size = materialize_measured(useful.select("left", _edge_id().alias("edge")), "edges")
+    heads, n_open, path_size = materialize_measured(_ids(starts), "heads")
     open_paths = heads.select(
         F.col("vid").alias("at"), F.array().cast(T.ArrayType(useful.schema["edge"].dataType)).alias("path")
     )
@@ -193,10 +193,10 @@ def all_paths(
     # The longest paths are left to the caller's own job: no later hop reads them.
     for hop in range(1, max_hops + 1):
         step = useful.filter(F.col("left") <= max_hops - hop).withColumn("at", F.col("edge._srcId"))
-        if is_small(useful.sparkSession, seen["size"]):
+        if is_small(useful.sparkSession, path_size):
             open_paths = F.broadcast(open_paths)
         else:
-            step = join_side(step, edge_seen["size"])
+            step = join_side(step, edge_size)
         longer = (
             open_paths.join(step, "at")
             .filter(~F.array_contains("path", F.col("edge")))
@@ -207,11 +207,11 @@ def all_paths(
             )
         )
         if hop < max_hops:
-            longer, seen = materialize_measured(longer, f"paths{hop}", ["at", "path"])
+            longer, n_open, path_size = materialize_measured(longer, f"paths{hop}", ["at", "path"])
         found.append(longer.filter("there").select("path"))
         if hop < max_hops:
             open_paths = longer.select("at", "path")
-            if not seen["rows"]:
+            if not n_open:
                 break
     return _all_of(found)
 

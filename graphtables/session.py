@@ -7,7 +7,7 @@ import uuid
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What a row takes in a broadcast besides the bytes of its values.
@@ -69,15 +69,15 @@ def _width(cols) -> Column:
     return reduce(lambda a, b: a + b, sizes, F.lit(ROW_BYTES)).cast("bigint")
 
 
-def materialize_measured(df: DataFrame, name: str, cols=None, **more: Column) -> tuple[DataFrame, dict]:
-    """``df`` as in :func:`materialize`, and what was seen of its rows while they were written.
+def materialize_measured(df: DataFrame, name: str, cols=None) -> tuple[DataFrame, int, int]:
+    """``df`` as in :func:`materialize`, its rows, and a bound of the bytes that ``cols`` (all by default) take.
 
-    That is ``rows``, ``size`` (a bound of the bytes that ``cols``, all by default, take) and the aggregates in ``more``.
+    Both are found in what was written: the rows in the files' footers, and bytes are looked at only where the rows are few.
     """
-    seen = Observation()
-    total = F.coalesce(F.sum(_width(df.columns if cols is None else cols)), F.lit(0)).alias("size")
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), total, *[c.alias(n) for n, c in more.items()])
-    return materialize(watched, name), seen.get
+    kept = materialize(df, name)
+    rows = kept.count()
+    few = is_small(df.sparkSession, rows * ROW_BYTES)
+    return kept, rows, measure(kept, cols)[1] if few else rows * ROW_BYTES
 
 
 def measure(df: DataFrame, cols=None) -> tuple[int, int]:

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ from graphtables.operators.mutate import (
     part_of_key,
     settled_feed,
 )
-from graphtables.session import ROW_BYTES, join_side, materialize_measured
+from graphtables.session import ROW_BYTES, join_side, materialize_measured, size_of
 from graphtables.sources.scan import scan
 
 BATCH = "_batch"
@@ -176,23 +176,16 @@ class Store:
         folder = f"{kind}/{name}/delta-{uuid.uuid4().hex}"
         # few rows: as many files as bytes ask for, not as tasks made them
         packed = rows.withColumn(SEQ, F.lit(seq).cast("bigint")).hint("rebalance")
-        seen = self._write_observed(packed, folder, key, n_parts)
-        if not seen["rows"]:
+        packed.write.parquet(f"{self.root}/{folder}")
+        written = self.spark.read.schema(packed.schema).parquet(f"{self.root}/{folder}").select(*key)
+        parts = written.agg(F.sort_array(F.collect_set(part_of_key(key, n_parts)))).first()[0]
+        if not parts:
             return entry
-        new = {"path": folder, "seq": seq, "bytes": self._bytes(folder), "key_bytes": seen["size"], "parts": sorted(seen["parts"])}
+        new = {"path": folder, "seq": seq, "bytes": self._bytes(folder), "key_bytes": size_of(written), "parts": parts}
         entry = {**entry, "deltas": [*entry["deltas"], new], "change": folder}
         grown = sum(d["bytes"] for d in entry["deltas"]) > self.delta_share * base and size > ROW_BYTES * self.max_deltas
         return self._compacted(entry, kind, name) if grown or len(entry["deltas"]) > self.max_deltas else entry
 
-    def _write_observed(self, rows: DataFrame, folder: str, key: list[str], n_parts: int) -> dict:
-        seen = Observation()
-        width = sum((F.octet_length(F.col(k).cast("string")) for k in key), F.lit(ROW_BYTES)).cast("bigint")
-        rows.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size"),
-            F.collect_set(part_of_key(key, n_parts)).alias("parts"),
-        ).write.parquet(f"{self.root}/{folder}")
-        return seen.get
-
     def _compacted(self, entry: dict, kind: str, name: str) -> dict:
         """The deltas of a table merged into the parts that they touch; the other parts stay as they are."""
         touched = {p for d in entry["deltas"] for p in d["parts"]}
@@ -276,22 +269,22 @@ class Store:
             return {f"{kind}/{label}": self._with_delta(entry, kind, label, rows, feed.size)}, rejects
         # vertices are deleted from all labels
         feed = settled_feed(space, VERTEX, None, changes, how)
-        gone, seen = materialize_measured(feed.keys(), "gone")
+        gone, _, size = materialize_measured(feed.keys(), "gone")
         entries = {}
         for a_kind, name in space.labels:
             key = f"{a_kind}/{name}"
             table = scan(space, a_kind, name)
             if a_kind == VERTEX:
-                found = table.select("_vertexId").join(join_side(gone, seen["size"]), "_vertexId", "left_semi")
+                found = table.select("_vertexId").join(join_side(gone, size), "_vertexId", "left_semi")
             elif how.delete_edge:
-                found = incident(table, gone, seen["size"])
+                found = incident(table, gone, size)
             else:
                 continue
             rows = found.select(
                 *[F.col(c) if c in found.columns else F.lit(None).cast(table.schema[c].dataType).alias(c) for c in table.columns],
                 F.lit(True).alias(GONE),
             )
-            new = self._with_delta(tables[key], a_kind, name, rows, seen["size"])
+            new = self._with_delta(tables[key], a_kind, name, rows, size)
             if new is not tables[key]:
                 entries[key] = new
         return entries, feed.rejects
@@ -309,12 +302,11 @@ class Store:
         base = self.current()
         entry, own = base.tables[f"{kind}/{label}"], self.space.label(kind, label)
         n_parts = entry["n_parts"]
-        wanted, seen = materialize_measured(
-            keys.select(*[F.col(k).cast("bigint" if k == "_rank" else "string").alias(k) for k in own.key]).distinct(),
-            "wanted", parts=F.collect_set(part_of_key(own.key, n_parts)),
-        )
-        space = self._space({f"{kind}/{label}": entry}, {f"{kind}/{label}": seen["parts"]})
-        return scan(space, kind, label, cols).join(join_side(wanted, seen["size"]), own.key, "left_semi")
+        keys = keys.select(*[F.col(k).cast("bigint" if k == "_rank" else "string").alias(k) for k in own.key])
+        wanted, _, size = materialize_measured(keys.distinct(), "wanted")
+        parts = wanted.agg(F.collect_set(part_of_key(own.key, n_parts))).first()[0]
+        space = self._space({f"{kind}/{label}": entry}, {f"{kind}/{label}": parts})
+        return scan(space, kind, label, cols).join(join_side(wanted, size), own.key, "left_semi")
 
     def clear_old(self, keep: int = 1) -> list[str]:
         """Remove versions but the newest ``keep``, and files that none of these names. Not while a writer is at work, as what it
