@@ -27,9 +27,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest id stays, once if its row is repeated."""
     stays = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("stays_id"), F.col("text_sha256").alias("stays_sha"))
-    named = docs.withColumn("own_sha", F.sha2(ascii_lower(docs["text"]).cast("binary"), 256))
-    same = (named["own_sha"] == stays["stays_sha"]) & named["doc_id"].eqNullSafe(stays["stays_id"])
-    return named.join(stays, same, "left_semi").dropDuplicates(["doc_id", "own_sha"]).drop("own_sha")
+    own = next(n for n in ("own_sha" + "_" * k for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    named = docs.withColumn(own, F.sha2(ascii_lower(docs["text"]).cast("binary"), 256))
+    same = (named[own] == stays["stays_sha"]) & named["doc_id"].eqNullSafe(stays["stays_id"])
+    return named.join(stays, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
