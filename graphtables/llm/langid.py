@@ -84,6 +84,10 @@ class Model:
         return names, np.clip(scores, 0.0, 1.0)
 
 
+#: Texts that a model is learned from at most; a profile takes 16 KB of the driver.
+MAX_ROWS = 20_000
+
+
 def _svm(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
     return fit_svm(x, np.where(positive, 1.0, -1.0).astype(np.float32)).astype(np.float32)
 
@@ -93,16 +97,17 @@ def _profiles(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([profile(t or "").tobytes() for t in batch])
 
 
-def train(docs: DataFrame, per_lang: int = 400, max_langs: int = 200) -> Model | None:
-    """A model from at most ``per_lang`` texts of each of ``max_langs`` languages of ``docs`` (id, text, lang).
+def train(docs: DataFrame, per_lang: int = 400, max_rows: int = MAX_ROWS) -> Model | None:
+    """A model of every language of ``docs`` (id, text, lang), from at most ``per_lang`` texts of each.
 
-    The sample is chosen by the hash of the ids. ``docs`` must hold nothing that is held out.
+    Where languages are so many that those were more than ``max_rows`` texts, each has an equal share of that number, one text at
+    least. The sample is chosen by the hash of the ids. ``docs`` must hold nothing that is held out.
     """
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
+    n_langs = usable.select("lang").distinct().count()
+    per_lang = max(1, min(per_lang, max_rows // max(1, n_langs)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    keys = usable.select("id", "lang", F.row_number().over(order).alias("rn")).where(F.col("rn") <= per_lang)
-    langs = keys.where("rn = 1").select("lang").orderBy("lang").limit(max_langs)
-    keys = keys.join(F.broadcast(langs), "lang").select("id").distinct()
+    keys = usable.select("id", F.row_number().over(order).alias("rn")).where(F.col("rn") <= per_lang).select("id").distinct()
     to_profile = F.pandas_udf(_profiles, "binary")
     sample = texts_of(usable, keys).select("id", "lang", to_profile("text").alias("x"))
     rows = sample.orderBy("id", "lang", "x").toPandas()
@@ -119,11 +124,12 @@ def language_id(
     lang_col: str = "lang",
     folds: int = 5,
     per_lang: int = 400,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, held_out, lang_pred, score.
 
     Rows whose crc32(id as text) mod ``folds`` is 0 are held out; the model is learned from a bounded sample
-    (``per_lang`` documents of each language) of the others that have text, language and id. Only the
+    (``per_lang`` documents of each language, ``max_rows`` in all) of the others that have text, language and id. Only the
     text goes into a prediction, all of it. The family with the largest margin is chosen first; inside it each
     pair of languages has its own machine, and the language that wins most against the others is predicted
     (of equal ones the first by name).
@@ -132,7 +138,7 @@ def language_id(
     """
     rows = pick(docs, id=id_col, text=text_col, lang=lang_col)
     held = (crc_of_id(F.col("id")) % folds == 0).alias("held_out")
-    model = train(rows.where(crc_of_id(F.col("id")) % folds != 0), per_lang)
+    model = train(rows.where(crc_of_id(F.col("id")) % folds != 0), per_lang, max_rows)
 
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:

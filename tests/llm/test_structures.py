@@ -261,3 +261,15 @@ def test_digests_of_conversations_without_rows(spark, tmp_path):
     got = {r["conv_id"]: tuple(r)[1:] for r in conversations.op13_conversation_repair(spark, str(tmp_path)).collect()}
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert got == {gone: (0, 0, 0, 0, 0, 0, "", sha("")), one: (0, 0, 0, 0, 0, 2, "KI", sha("user:Hi.\nassistant:"))}
+
+
+# --- language ID --------------------------------------------------------------------------------
+
+
+def test_every_language_is_learned(spark):
+    from graphtables.llm import langid
+
+    rows = [(100 * k + i, f"{chr(97 + k) * 3} {chr(98 + k) * 2} " * 9 + str(i), f"zz{k:02d}") for k in range(20) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.language_id(df, max_rows=40).collect()}
+    assert {got[i] for i, _, _ in rows} == {lang for _, _, lang in rows}
