@@ -12,18 +12,21 @@ from graphtables.sources.store import Store
 
 
 def latest_changes(changes: DataFrame, kind: str, vid_type: str, how) -> DataFrame:
-    """Of the rows of a key that a stream has brought so far the last by ``how.order_by`` (for an insert if absent the first).
+    """Of the rows of a key that a stream has brought so far the last by ``how.order_by``.
 
     The state of the stream holds that row for every key, so a row that arrives late does not win over a newer one
     of an earlier batch. To be written in update mode: a batch has the keys that it met, each with its winner.
     Ties are decided by the whole row. A row without a usable key stands for itself and its like.
+
+    An insert if absent is refused: its first row would have to be taken back once an earlier one arrives.
     """
+    if how.mode == "insert" and not how.overwrite:
+        raise ValueError("an insert if absent has no order over batches")
     keys, raw, reason = (vertex_ids if kind == VERTEX else edge_ids)(how, vid_type)
     group = [F.coalesce(c.cast("string"), F.lit("")).alias(f"_key{i}") for i, c in enumerate(keys.values())]
     group += [F.when(reason.isNotNull(), F.coalesce(c.cast("string"), F.lit(""))).alias(f"_raw{i}") for i, c in enumerate(raw.values())]
     row = F.struct(*how.order_by, *[c for c in changes.columns if c not in how.order_by])
-    pick = F.min if how.mode == "insert" and not how.overwrite else F.max
-    return changes.groupBy(*group).agg(pick(row).alias("_row")).select("_row.*").select(*changes.columns)
+    return changes.groupBy(*group).agg(F.max(row).alias("_row")).select("_row.*").select(*changes.columns)
 
 
 def mutate_from_stream(

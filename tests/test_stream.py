@@ -4,7 +4,7 @@ from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space
 from graphtables.operators.mutate import mutate_edges
 from graphtables.sources.scan import scan, scan_edges
 from graphtables.sources.store import Store
-from graphtables.streaming import mutate_from_stream, stream_edges, stream_vertices
+from graphtables.streaming import mutate_from_stream, stream_changes, stream_edges, stream_vertices
 from tests.fixtures import rows
 
 LINK = Label("link", EDGE, {"w": "DOUBLE", "note": "STRING"})
@@ -102,3 +102,50 @@ def test_stream_of_vertices_as_files_hold_them(spark, tmp_path):
     query.awaitTermination()
     assert rows(spark.table("days")) == [("a", "2021-01-01T12:00:00.000")]
     assert stream_vertices(spark, folder, tag, no_column=True, schema=held.schema).columns == ["_vertexId"]
+
+
+@pytest.mark.parametrize("mode", ["insert", "update"])
+def test_order_over_batches(spark, space, tmp_path, mode):
+    """Files arrive in the reverse order of their rows; the rows' own order decides."""
+    how = EdgeWrite("a", "b", order_by=("seq",), mode=mode)
+    store = Store(spark, str(tmp_path / "space"), space)
+    store.save_space(space)
+    folder = str(tmp_path / "in")
+    for part in reversed(FILES):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    changes = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    query = (
+        mutate_from_stream(store, changes, "feed", EDGE, "link", how, across_batches=True)
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    store.fold("feed", EDGE, "link", how)
+    every = spark.createDataFrame([r for part in FILES for r in part], SCHEMA)
+    assert rows(scan(store.read(), EDGE, "link")) == rows(mutate_edges(space, "link", every, how).table(EDGE, "link"))
+    absent = EdgeWrite("a", "b", order_by=("seq",), overwrite=False)
+    with pytest.raises(ValueError, match="no order over batches"):
+        mutate_from_stream(store, changes, "other", EDGE, "link", absent, across_batches=True)
+
+
+def test_changes_of_a_stored_label_as_a_stream(spark, space, tmp_path):
+    store = Store(spark, str(tmp_path / "space"), space)
+    store.save_space(space)
+    seen = []
+
+    def follow():
+        take = lambda df, n: seen.append(sorted((r["_version"], r["_whole"], r["_gone"], r["_srcId"], r["w"]) for r in df.collect()))
+        query = stream_changes(store, EDGE, "link", take).option("checkpointLocation", str(tmp_path / "p")).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    follow()
+    assert seen == [[(1, True, False, "1", 0.5), (1, True, False, "2", 1.5)]]
+    store.apply(EDGE, "link", spark.createDataFrame([("1", "2", 7.0)], "a string, b string, w double"), EdgeWrite("a", "b"))
+    store.apply(EDGE, "link", spark.createDataFrame([("2", "3")], "a string, b string"), EdgeWrite("a", "b", mode="delete"))
+    store.compact(EDGE, "link")
+    follow()
+    # after what was read already; a merge of deltas is no change
+    assert seen[1:] == [[(2, False, False, "1", 7.0)], [(3, False, True, "2", None)]]
+    follow()
+    assert len(seen) == 3
