@@ -33,10 +33,10 @@ class Shard:
 
     def __init__(self, codes: np.ndarray, begin: np.ndarray, length: np.ndarray, depth: int, step: int, radix: int):
         off = np.arange(len(codes)) - begin
-        rank, h = codes.astype(np.int64), 1
+        rank, h = codes * radix + codes[begin + (off + 1) % length], 2
         order = np.argsort(rank, kind="stable")
         while h < depth:
-            key = rank * (len(codes) + radix) + rank[begin + (off + h) % length]
+            key = rank * (len(codes) + radix * radix) + rank[begin + (off + h) % length]
             order = np.argsort(key, kind="stable")
             sorted_key = key[order]
             rank = np.empty_like(rank)
@@ -51,32 +51,43 @@ class Shard:
         self.before = before[order].astype(np.uint16)
 
 
-def merge(shards: list[Shard], rounds: int) -> np.ndarray:
-    """For each suffix, shard after shard in their orders, the number of its interval in the merged order.
+def merge(shards: list[Shard], rounds: int):
+    """Suffixes (numbered shard after shard in their orders) that share their interval, and the number of that interval.
 
-    The interleave says from which shard the next suffix of the merged order comes. Each round puts the
-    interleave in the order of the symbols before (stable, so the order of what follows them is kept): after
-    ``rounds`` rounds the suffixes are in the order of all the symbols read in them. Neighbours that differ in
-    the symbol or were in different intervals are now in different ones, so the round in which a bound
-    appears is their common prefix, and what no bound divides is a repeated interval. No suffixes are compared.
+    The interleave says which suffix comes next in the merged order. Each round puts it in the order of the symbols
+    before (stable, so the order of what follows them is kept) and goes from each suffix to the one that begins with
+    these symbols, whose place in its shard follows from the transform alone. After ``rounds`` rounds
+    the suffixes are in the order of all the symbols read in them. Neighbours that differ in the symbols or were in
+    different intervals are now in different ones, so the round in which a bound appears is their common prefix, and
+    what no bound divides is a repeated interval. No suffixes are compared.
+
+    A suffix that is alone in its interval stays alone, and so does the one that it leads to in the next round: both
+    are left out, and the rounds shrink to what is repeated.
     """
     before = np.concatenate([s.before for s in shards])
-    source = np.repeat(np.arange(len(shards)), [len(s.before) for s in shards])
-    source = source.astype(np.uint8 if len(shards) < 256 else np.uint16)
-    interval = np.zeros(len(source), np.int32)
+    leads, base = np.empty(len(before), np.int32), 0
+    for s in shards:
+        leads[base + np.argsort(s.before, kind="stable")] = np.arange(base, base + len(s.before), dtype=np.int32)
+        base += len(s.before)
+    suffix = np.arange(len(before), dtype=np.int32)
+    interval = np.zeros(len(before), np.int32)
     bounds = 1
-    symbols = np.empty_like(before)
     for _ in range(rounds):
-        symbols[np.argsort(source, kind="stable")] = before
+        symbols = before[suffix]
         order = np.argsort(symbols, kind="stable")
-        symbols, source, interval = symbols[order], source[order], interval[order]
+        symbols, interval = symbols[order], interval[order]
         new = (symbols[1:] != symbols[:-1]) | (interval[1:] != interval[:-1])
-        interval = np.concatenate([[0], np.cumsum(new, dtype=np.int32)]).astype(np.int32)
-        symbols = np.empty_like(before)
-        if interval[-1] + 1 == bounds:  # a round without a new bound is the last
+        new = np.concatenate([[True], new, [True]])
+        shared = ~(new[:-1] & new[1:])
+        suffix = leads[suffix[order[shared]]]
+        interval = np.cumsum(new[:-1][shared], dtype=np.int32)
+        if not len(suffix):
+            break
+        now = len(before) - len(suffix) + int(interval[-1])
+        if now == bounds:  # a round without a new bound is the last
             break
-        bounds = int(interval[-1]) + 1
-    return interval[np.argsort(source, kind="stable")]
+        bounds = now
+    return suffix, interval
 
 
 def repeated_windows(strings: list[bytes], counts: np.ndarray, size: int):
@@ -98,8 +109,8 @@ def repeated_windows(strings: list[bytes], counts: np.ndarray, size: int):
             cuts.append(int(b))
     cuts.append(len(codes))
     shards = [Shard(codes[a:b], begin[a:b] - a, length[a:b], size, step, len(used)) for a, b in zip(cuts, cuts[1:], strict=False)]
-    interval = merge(shards, size // step)
-    place = np.concatenate([s.order + a for s, a in zip(shards, cuts, strict=False)])
+    suffix, interval = merge(shards, size // step)
+    place = np.concatenate([s.order + a for s, a in zip(shards, cuts, strict=False)])[suffix]
     string = np.repeat(np.arange(len(strings)), lengths)[place]
     off = place - begins[string]
     asked = off < counts[string]
