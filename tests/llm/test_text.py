@@ -198,6 +198,64 @@ def test_patterns_discover_what_has_no_base_form(table):
     assert out[len(known)].spans == "card:9:25" and out[len(known)].n_card == 0
 
 
+@pytest.fixture(scope="module")
+def cards():
+    found = [str(n) for n in range(4539578763621000, 4539578763621120) if plain.luhn(str(n))][:8]
+    return found, [str(int(c) + 1) for c in found]
+
+
+def grouped(digits):
+    return " ".join(digits[i : i + 4] for i in range(0, len(digits), 4))
+
+
+def discovered(table, texts):
+    out = pii.personal_data(table([(i, t, "en", "a") for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    return [[(pii.KINDS[f.k], texts[r.doc_id][f.start : f.end]) for f in r.found if not f.base] for r in out]
+
+
+def test_discovery_of_each_kind(table, cards):
+    valid, wrong = cards
+    seeds = [f"on Monday card: {c} was used" for c in valid[:4]]
+    seeds += [f"email: u{i}@example.com ok" for i in range(4)] + [f"call +1 555 123 45{i}0 now" for i in range(4)]
+    seeds += [f"host 10.0.0.{i} is up" for i in range(4)]
+    finds = {
+        f"card: {grouped(wrong[0])} failed": ("card", grouped(wrong[0])),
+        f"pay card:{' ' * 60}{wrong[1]}": ("card", wrong[1]),
+        "email: alice@intranet": ("email", "alice@intranet"),
+        "email: bob2024@intranet, or": ("email", "bob2024@intranet"),
+        "call (555) 123-4567 now": ("phone", "(555) 123-4567"),
+        "host 300.1.2.3 is up": ("ip", "300.1.2.3"),
+    }
+    none = ["order 4539578763621487000 came", "page 12 of 44", "sold alice@intranet", "call me"]
+    # one after another, as a find of one text counts wherever its pattern is
+    assert discovered(table, [*seeds, *finds, *none]) == [[]] * len(seeds) + [[f] for f in finds.values()] + [[]] * len(none)
+
+
+def test_patterns_with_mostly_unknown_identifiers_and_contrary_ones(table, cards):
+    valid, _ = cards
+    seeds = [f"card: {c} used" for c in valid[:3]]
+    wrong = [f"card: {4000000000000000 + 7 * i} used" for i in range(30)]
+    unknown = [t for t in wrong if not plain.luhn(t[6:22])]
+    assert len(unknown) > 20 and all(len(x) == 1 for x in discovered(table, [*seeds, *unknown])[3:])
+    # the same word goes before numbers of no kind
+    assert not any(discovered(table, [*seeds, *unknown, "card: 12 a", "card: 7 b"]))
+
+
+def test_a_find_brings_in_a_pattern_without_a_seed(table, cards):
+    valid, wrong = cards
+    texts = [f"card: {c} used" for c in valid[:5]] + [f"card: {c} used" for c in wrong] + [f"Karte {c} weg" for c in wrong]
+    texts += ["Karte 4539 1111 2222 3334 weg"]
+    assert discovered(table, texts)[-1] == [("card", "4539 1111 2222 3334")]
+    assert discovered(table, texts[:5] + texts[-1 - len(wrong) :])[-1] == []
+
+
+def test_a_text_of_nothing_but_matches(table):
+    n = 40_000
+    text = "1.2.3.4 300.2.3.4 " * n
+    row = pii.personal_data(table([(1, text, "en", "a"), (1, text, "en", "a")])).collect()
+    assert len(row) == 2 and {r.n_ip for r in row} == {n} and row[0].base_sha256 == plain.sha(",".join(f"ip:{18 * i}:{18 * i + 7}" for i in range(n)))
+
+
 def test_personal_data_odd_rows(table, odd_rows):
     out = pii.personal_data(table(odd_rows)).collect()
     assert len(out) == len(odd_rows)
