@@ -86,6 +86,12 @@ def passages(text: str) -> np.ndarray:
     return out
 
 
+def spread(n: int, most: int) -> np.ndarray:
+    """At most ``most`` of ``n`` places, all over them: those of the smallest hash, in their order."""
+    place = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return np.sort(np.argsort(place, kind="stable")[:most])
+
+
 class Attention:
     """Passages are encoded, weighed by a gated attention over the document, and summed; the sum is scored."""
 
@@ -149,7 +155,7 @@ class Attention:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int, max_passages: int) -> Attention | None:
-    """A model from at most ``max_docs`` labelled documents and of those the first ``max_passages`` passages.
+    """A model from at most ``max_docs`` labelled documents and of each ``max_passages`` passages, spread over the whole text.
 
     Both bounds hold for training alone. ``docs`` has id, text; ``labels`` has id, y (0 or 1); an id with
     several labels counts as 1 where most of them say so.
@@ -157,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int, max_passages: int)
 
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([passages(t or "")[:max_passages].astype(np.float16).tobytes() for t in batch])
+            every = (passages(t or "") for t in batch)
+            yield pd.Series([x[spread(len(x), max_passages)].astype(np.float16).tobytes() for x in every])
 
     known = labels.where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg((F.avg("y") > 0.5).cast("int").alias("y"))
     keys = some(docs.select("id").distinct().join(known, "id"), max_docs)
@@ -202,9 +209,10 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """One row per row of ``docs``: id, held_out, score, predicted.
 
     Rows whose crc32(id as text) mod ``folds`` is ``held`` are held out; the model is learned from a bounded
-    sample (max_docs, max_passages) of the other labelled ones. A score is made of the text alone, all
-    passages of it. Null counts as empty, an empty text is one empty passage. Without any label the
-    score is 0.5. Repeated rows get a row each.
+    sample (max_docs, and max_passages of each, spread over the whole text) of the other labelled ones. A score is made of
+    the text alone, all passages of it, however long it is. Null counts as empty, an empty text is one empty passage. Without
+    any label the score is 0.5. Repeated rows get a row each; an empty table gives none. Labels that tie count as 0. Other
+    columns are not looked at, whatever their names.
     """
     score = scorer(docs, labels, id_col, text_col, folds=folds, held=held, **more)
     rows = pick(docs, id=id_col, text=text_col)
