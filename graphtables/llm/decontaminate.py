@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,8 @@ from graphtables.llm.wordhash import LETTERS, WORDS, to_bytes, word_hashes, word
 WINDOW, SHINGLE = 10, 5
 #: Words of benchmark text that are matched in one go; a larger benchmark is matched block after block.
 BLOCK_WORDS = 1_000_000
+#: Items are cut into pieces of this share of a block, so that blocks are of about one size.
+PIECES = 16
 
 
 def tokens(text: str | None):
@@ -140,22 +143,36 @@ def contamination(
     Null texts have no words; a null item id counts as the empty id; items and documents may repeat
     (ids count once, documents get a row each); without items nothing is contaminated.
 
-    The benchmark is a query set: its windows are matched with all documents in blocks of about
-    ``block_words`` words, each sent to the executors as a whole. Documents are never shuffled. Every block reads
-    the texts twice: for the number of documents that hold each shingle, and for the join.
+    The benchmark is a query set: its windows are matched with all documents in blocks of about ``block_words`` words, one
+    after another: a block is sent to the executors as a whole, and what it hits is written out before the next is
+    gathered, so one block is held at a time. Long items are cut into pieces that overlap, so no window is lost. Documents are
+    never shuffled for the first block; of the others only the hits are. Every block reads the texts twice:
+    for the number of documents that hold each shingle, and for the join. Other columns are not looked at, whatever their names.
     """
-    found = matchers(docs, benchmark, text_col, item_id, item_text, block_words)
-    out = pick(docs, id=id_col, text=text_col)
-    out = out.select("id", *[match("text").alias(f"found_{i}") for i, match in enumerate(found)])
-    blocks = [F.col(f"found_{i}") for i in range(len(found))]
-    spans = F.array_sort(F.flatten(F.array(*[f["spans"] for f in blocks])))
-    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*[f["items"] for f in blocks]))))
+    rows = pick(docs, id=id_col, text=text_col).select("id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"))
+    blocks = _blocks(benchmark, item_id, item_text, block_words)
+    out = rows.select("id", "tag", _matcher(_indexed(rows, next(blocks)))("text").alias("m")).select("id", "tag", "m.*")
+    more = []
+    for items in blocks:
+        out = settled(out, "matched") if not more else out
+        hits = rows.select("id", "tag", _matcher(_indexed(rows, items))("text").alias("m")).select("id", "tag", "m.spans", "m.items")
+        more.append(settled(hits.where(F.size("spans") > 0), "hits"))
+    if more:
+        named = F.explode("spans").alias("s"), "items"
+        hits = reduce(DataFrame.union, more).select(F.col("id").alias("hit_id"), F.col("tag").alias("hit_tag"), *named)
+        hits = hits.groupBy("hit_id", "hit_tag").agg(
+            F.collect_set("s").alias("more_spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("more_items")
+        )
+        same = out["id"].eqNullSafe(hits["hit_id"]) & (out["tag"] == hits["hit_tag"])
+        joined = out.join(hits, same, "left")
+        both = lambda a, b: F.when(F.col(b).isNull(), F.col(a)).otherwise(F.concat(a, b)).alias(a)
+        out = joined.select("id", "n_words", both("spans", "more_spans"), both("items", "more_items"))
     return out.select(
         F.col("id").alias(id_col),
-        blocks[0]["n_words"].alias("n_words"),
-        _covered(spans).alias("n_hit"),
-        spans.alias("spans"),
-        ids.alias("items"),
+        "n_words",
+        _covered(F.array_sort("spans")).alias("n_hit"),
+        F.array_sort("spans").alias("spans"),
+        F.array_sort(F.array_distinct("items")).alias("items"),
     ).select(
         "*",
         F.size("items").cast("bigint").alias("n_items"),
@@ -164,32 +181,72 @@ def contamination(
     )
 
 
-def matchers(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str, item_text: str, block_words: int) -> list:
-    """For each block of the benchmark a function of the text column: n_words, spans, items (see ``contamination``)."""
-    texts = pick(docs, text=text_col)
+def _cut(most: int):
+    """Items in pieces of at most ``most`` windows; a piece has the words of its windows, so neighbours overlap."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch["item"], batch["text"], strict=True):
+                data, starts, ends, _ = tokens(text)
+                for first in range(0, max(1, len(starts) - WINDOW + 1) if len(starts) else 0, most):
+                    last = min(len(starts), first + most + WINDOW - 1) - 1
+                    piece = data[starts[first] : ends[last]].tobytes().decode("utf-8", "surrogatepass")
+                    rows.append((item, piece, last + 1 - first))
+            yield pd.DataFrame(rows, columns=["item", "text", "words"])
+
+    return cut
+
+
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, block_words: int) -> Iterator[list[tuple[str, str]]]:
+    """The pieces of the items, block after block; at least one block, which may be empty."""
     items = pick(benchmark, item=item_id, text=item_text).select(
         F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), "text"
     )
-    words = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-words // (5 * block_words)))
-    blocks = settled(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))), "benchmark")
-    found = []
+    pieces = settled(items.mapInPandas(_cut(max(1, block_words // PIECES)), "item string, text string, words long").distinct(), "benchmark")
+    n_blocks = max(1, -(-(pieces.agg(F.sum("words")).first()[0] or 0) // block_words))
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))
     for i in range(n_blocks):
-        block = Windows([tuple(r) for r in blocks.where(F.col("block") == i).select("item", "text").distinct().collect()])
-        counts = np.zeros(len(block.shingles), np.int64)
-        counted = texts.mapInPandas(_count_shingles(block), "shingle long, docs long")
-        for r in counted.groupBy("shingle").agg(F.sum("docs").alias("docs")).toLocalIterator():
-            counts[r.shingle] = r.docs
-        block.order(counts)
-        found.append(_matcher(block))
-    return found
+        yield [tuple(r) for r in pieces.where(block == i).select("item", "text").collect()]
+
+
+def _indexed(rows: DataFrame, items: list[tuple[str, str]]) -> Windows:
+    """The windows of a block, by the shingle of each that the fewest of the texts hold."""
+    block = Windows(items)
+    counts = np.zeros(len(block.shingles), np.int64)
+    counted = rows.select("text").mapInPandas(_count_shingles(block), "shingle long, docs long")
+    for r in counted.groupBy("shingle").agg(F.sum("docs").alias("docs")).toLocalIterator():
+        counts[r.shingle] = r.docs
+    block.order(counts)
+    return block
+
+
+def without_contamination(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in whose texts no window of the benchmark occurs.
+
+    Null texts hold no window and stay. Of each block but the last, the hit texts are settled as hashes before the next is gathered;
+    a text goes by its 128-bit content hash, so repeated rows go together.
+    """
+    texts = pick(docs, text=text_col).select(F.coalesce("text", F.lit("")).alias("text"))
+    content = lambda text: F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    last, gone = None, []
+    for items in _blocks(benchmark, item_id, item_text, block_words):
+        if last is not None:
+            gone.append(settled(texts.where(F.size(last(texts["text"])["spans"]) > 0).select(content(texts["text"]).alias("gone")).distinct(), "hits"))
+        last = _matcher(_indexed(texts, items))
+    clean = docs.where(F.size(last(docs[text_col])["spans"]) == 0)
+    for hits in gone:
+        clean = clean.join(hits, content(clean[text_col]) == hits["gone"], "left_anti")
+    return clean
 
 
 def is_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text"):
-    """Whether no window of the benchmark occurs in the text, as a column over ``docs``."""
-    clean = F.lit(True)
-    for match in matchers(docs, benchmark, text_col, item_id, item_text, BLOCK_WORDS):
-        clean = clean & (F.size(match(docs[text_col])["spans"]) == 0)
+    """Whether no window of the benchmark occurs in the text, as a column over ``docs``; of a benchmark of one block."""
+    texts, clean = pick(docs, text=text_col), F.lit(True)
+    for items in _blocks(benchmark, item_id, item_text, BLOCK_WORDS):
+        clean = clean & (F.size(_matcher(_indexed(texts, items))(docs[text_col])["spans"]) == 0)
     return clean
 
 

@@ -274,9 +274,41 @@ def test_contamination_against_plain(spark, table, noisy):
     pairs = noisy[:30]
     data = table([(i, t, "en", "a") for i, t in pairs])
     named = [("" if i is None else i, t) for i, t in items]
-    for block in (decontaminate.BLOCK_WORDS, 20):
-        got = {r.doc_id: (r.n_words, r.n_hit, ",".join(r["items"])) for r in decontaminate.contamination(data, bench, block_words=block).collect()}
-        assert got == {i: plain.hit_words(t, named) for i, t in pairs}
+    data = data.union(data.limit(2))
+    for block in (decontaminate.BLOCK_WORDS, 200, 20):
+        out = decontaminate.contamination(data, bench, block_words=block).collect()
+        got = {r.doc_id: (r.n_words, r.n_hit, ",".join(r["items"])) for r in out}
+        assert got == {i: plain.hit_words(t, named) for i, t in pairs} and len(out) == len(pairs) + 2
+        assert [r.n_hit for r in out] == [sum(min(b, 10**9) - a for a, b in united(r.spans)) for r in out]
+        kept = decontaminate.without_contamination(data, bench, block_words=block)
+        assert kept.columns == data.columns
+        assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in out if not r.contaminated)
+
+
+def united(spans):
+    out = []
+    for a, b in sorted(tuple(s) for s in spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def test_blocks_hold_one_block_of_words(spark):
+    long = " ".join(f"w{i}" for i in range(5000))
+    bench = spark.createDataFrame([(1, long), (2, "few words"), (3, None), (4, "")], "item_id long, text string")
+    blocks = list(decontaminate._blocks(bench, "item_id", "text", 500))
+    assert len(blocks) > 5 and max(sum(len(t.split()) for _, t in b) for b in blocks) < 1500
+    windows = {w for b in blocks for w in decontaminate.Windows(b).key}
+    assert windows == set(decontaminate.Windows([("1", long), ("2", "few words")]).key)
+    assert list(decontaminate._blocks(bench.limit(0), "item_id", "text", 500)) == [[]]
+
+
+def test_passages_of_training_are_all_over_the_text():
+    assert list(quality.spread(5, 48)) == [0, 1, 2, 3, 4] and list(quality.spread(0, 3)) == []
+    places = quality.spread(10_000, 48)
+    assert len(set(places)) == 48 and max(b - a for a, b in zip([0, *places], [*places, 10_000], strict=True)) < 500
 
 
 def test_contamination_odd_rows(spark, table, odd_rows):
