@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphtables.llm.common import ascii_lower, read, settled
-from graphtables.llm.decontaminate import is_clean
+from graphtables.llm.decontaminate import without_contamination
 from graphtables.llm.exact_dedup import exact_dedup
 from graphtables.llm.mixing import mix
 from graphtables.llm.near_dedup import near_duplicates
@@ -41,7 +41,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    return docs.where(is_clean(docs, read(spark, sf_dir, "benchmark")))
+    return without_contamination(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
