@@ -242,14 +242,6 @@ def without_contamination(
     return clean
 
 
-def is_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text"):
-    """Whether no window of the benchmark occurs in the text, as a column over ``docs``; of a benchmark of one block."""
-    texts, clean = pick(docs, text=text_col), F.lit(True)
-    for items in _blocks(benchmark, item_id, item_text, BLOCK_WORDS):
-        clean = clean & (F.size(_matcher(_indexed(texts, items))(docs[text_col])["spans"]) == 0)
-    return clean
-
-
 def _matcher(block: Windows):
     def match(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
