@@ -71,8 +71,12 @@ class Chain:
     @staticmethod
     def _fit(rows, earlier, y, use, l2, rounds):
         """Features without use next to the others are left out first: they would only learn the sample by heart."""
-        told = rows.only(chosen_by_lasso(rows, earlier, y, use, DIM, SURE, PRIOR))
-        return fit_logistic(told, earlier, y, use, DIM, l2, rounds)
+        chosen = chosen_by_lasso(rows, earlier, y, use, DIM, SURE, PRIOR)
+        size = int(chosen.sum())
+        fitted = fit_logistic(rows.only(chosen), earlier, y, use, size, l2, rounds)
+        w = np.zeros(DIM)
+        w[chosen] = fitted[:size]
+        return np.concatenate([w, fitted[size:]])
 
     def predict(self, numbers: np.ndarray) -> list[float]:
         said: list[float] = []

@@ -55,10 +55,12 @@ class Rows:
         return self._sums(self.row, w, self.index, self.n)
 
     def only(self, keep: np.ndarray) -> Rows:
-        """The same rows with the features marked in ``keep``."""
+        """The same rows with the features marked in ``keep``, numbered anew in their order. These are few, so they are held in
+        the width that sums need, which saves a copy for each sum."""
         out = object.__new__(Rows)
-        at = keep[self.index]
-        out.row, out.index, out.n = self.row[at], self.index[at], self.n
+        at = np.flatnonzero(keep[self.index])
+        number = np.cumsum(keep) - 1
+        out.row, out.index, out.n = self.row[at].astype(np.intp), number[self.index[at]], self.n
         return out
 
     def back(self, r: np.ndarray, dim: int) -> np.ndarray:
@@ -88,22 +90,25 @@ def chosen_by_lasso(rows: Rows, more: np.ndarray, y: np.ndarray, weight: np.ndar
     dense = np.column_stack([more, np.ones(rows.n)])
     w, u = np.zeros(dim), np.zeros(dense.shape[1])
     u[-1] = np.log(base / (1 - base))
+    said = np.zeros(rows.n)  # by the weights so far
     for _ in range(passes):
-        slope = rows.back(weight * (sigmoid(rows.dot(w) + dense @ u) - y), dim)
+        slope = rows.back(weight * (sigmoid(said + dense @ u) - y), dim)
         active = (w != 0) | (np.abs(slope) > penalty)
-        part = rows.only(active)
+        part, size = rows.only(active), int(active.sum())
         # a bound of the curvature along each weight, so that every step goes down
         many = np.bincount(part.row, minlength=rows.n) + dense.sum(1)
-        curve, flat = 0.25 * part.back(weight * many, dim) + 1e-9, 0.25 * dense.T @ (weight * many) + 1e-9
-        look, level = w, u
+        curve, flat = 0.25 * part.back(weight * many, size) + 1e-9, 0.25 * dense.T @ (weight * many) + 1e-9
+        own, least = w[active], penalty[active] / curve
+        look, level = own, u
         for i in range(rounds):
             r = weight * (sigmoid(part.dot(look) + dense @ level) - y)
-            step = look - part.back(r, dim) / curve
-            step = np.sign(step) * np.maximum(0.0, np.abs(step) - penalty / curve) * active
+            step = look - part.back(r, size) / curve
+            step = np.sign(step) * np.maximum(0.0, np.abs(step) - least)
             down = level - dense.T @ r / flat
             speed = i / (i + 3.0)
-            look, w = step + speed * (step - w), step
+            look, own = step + speed * (step - own), step
             level, u = down + speed * (down - u), down
+        w[active], said = own, part.dot(own)
     return w != 0
 
 
