@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from graphtables.model import EDGE, EDGE_KEY, EdgeWrite
 from graphtables.plans import mutations, traversals
-from graphtables.plans.demo import CONTAINS_ORDER, demo_space
+from graphtables.plans.demo import CONTAINS_ORDER, EDGES, demo_space
 from graphtables.session import scratch_path
 from graphtables.sources.scan import scan
 from graphtables.sources.store import Store
@@ -45,14 +45,37 @@ def stored_fetch_edges(spark, sf_dir):
     return _stored_lines(spark, sf_dir).fetch(EDGE, "contains", traversals.line_keys(spark, sf_dir), ["l_quantity"])
 
 
-QUERIES = {f.__name__: f for f in (stored_edges_deltas, stored_edges_compacted, stored_fetch_edges)}
+def stored_label_profile(spark, sf_dir):
+    """What the stored lines hold, read off their counts; the parts that the two deltas touch are read."""
+    return changed_lines(spark, sf_dir).profile()
+
+
+def stored_profile_compacted(spark, sf_dir):
+    """The same from counts alone, once the deltas are merged."""
+    store = changed_lines(spark, sf_dir)
+    store.compact(EDGE, "contains")
+    return store.profile()
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (stored_edges_deltas, stored_edges_compacted, stored_fetch_edges, stored_label_profile, stored_profile_compacted)
+}
 
 _CHANGED = (
     f"SELECT * FROM ({mutations.ORACLE['insert_edges_overwrite']}) ANTI JOIN"
     f" (SELECT * FROM ({mutations.LINE_FEED_SQL}) WHERE _rank <= 10) USING ({', '.join(EDGE_KEY)})"
 )
+_PROFILE = " UNION ALL ".join(
+    f"SELECT 'edge' AS kind, 'contains' AS label, '{p}' AS property, '{t}' AS property_type, count(*) AS n_rows,"
+    f" count(*) - count({p}) AS n_nulls FROM changed"
+    for p, t in EDGES["contains"].items()
+)
+_PROFILE = f"WITH changed AS ({_CHANGED}) {_PROFILE}"
 ORACLE = {
     "stored_edges_deltas": _CHANGED,
     "stored_edges_compacted": _CHANGED,
+    "stored_label_profile": _PROFILE,
+    "stored_profile_compacted": _PROFILE,
     "stored_fetch_edges": traversals.ORACLE["fetch_edges"],
 }

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from graphtables.functions import hash_id, is_integer_text
 from graphtables.model import EDGE, INT, STRING, VERTEX, Space
 
+#: The columns of a profile.
+PROFILE = "kind string, label string, property string, property_type string, n_rows bigint, n_nulls bigint"
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

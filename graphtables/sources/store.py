@@ -3,7 +3,9 @@
 The rows of a label lie in parts by the hash of their key. A version is a small file that names, for each label, the folder of each
 part and the deltas that came after: few changes on a large label are kept as a delta (whole new rows, and keys that
 are gone), which costs what the changes cost, and is merged when the label is read. Deltas that have grown are merged into the
-parts that they touch; other parts stay the files they are. Nothing that is written is ever changed, so every version can be
+parts that they touch; other parts stay the files they are. Rows lie in their files in the order of their keys, so the ranges in
+the files tell a reader of few keys what to leave out, and the version names the rows and nulls of each part, so what a label
+holds is known without a look at it. Nothing that is written is ever changed, so every version can be
 read until it is cleared away.
 
 The name of a version's file can be created once only,
@@ -38,6 +40,7 @@ from graphtables.operators.mutate import (
     settled_feed,
 )
 from graphtables.session import ROW_BYTES, join_side, materialize_measured, size_of
+from graphtables.sources.profile import PROFILE, label_profile
 from graphtables.sources.scan import scan
 
 BATCH = "_batch"
@@ -46,6 +49,8 @@ SEQ = "_seq"
 VERSION = "_version"
 #: What a version did to a label that it wrote whole; otherwise the path of its delta, or nothing where it only merged deltas.
 WHOLE = "whole"
+#: Keys of a fetch that are named one by one to the files; of more keys only the range is.
+FEW_KEYS = 200
 # Fixed value: rows of a batch where text options don't say.
 RAW_BATCH = 1000
 
@@ -119,14 +124,26 @@ class Store:
         return self._fs().getContentSummary(self._path(path)).getLength()
 
     def _write_parts(self, kind: str, name: str, df: DataFrame, key: list[str], n_parts: int) -> dict[str, dict]:
-        """Rows as parts in a new folder: number of the part -> its path below the root and its bytes."""
+        """Rows as parts in a new folder: number of the part -> its path below the root, its bytes, rows and nulls of each property."""
         folder = f"{kind}/{name}/{uuid.uuid4().hex}"
         dealt = df.withColumn(PART, part_of_key(key, n_parts))
         if int(self.spark.conf.get("spark.sql.shuffle.partitions")) % n_parts:
             dealt = dealt.hint("rebalance", PART)  # tasks would hold rows of all parts, each in a file of its own
-        dealt.write.partitionBy(PART).parquet(f"{self.root}/{folder}")
+        # the writer sorts by part anyway, and takes a longer order as it is
+        dealt.sortWithinPartitions(PART, *key).write.partitionBy(PART).parquet(f"{self.root}/{folder}")
         names = [n for n in self._names(folder) if n.startswith(f"{PART}=")]
-        return {n.split("=")[1]: {"path": f"{folder}/{n}", "bytes": self._bytes(f"{folder}/{n}")} for n in names}
+        counts = self._counts(folder, df.schema, [c for c in df.columns if c not in key]) if names else {}
+        return {
+            number: {"path": f"{folder}/{PART}={number}", "bytes": self._bytes(f"{folder}/{PART}={number}"), **counts[number]}
+            for number in (n.split("=")[1] for n in names)
+        }
+
+    def _counts(self, folder: str, schema: T.StructType, props: list[str]) -> dict[str, dict]:
+        """Rows and nulls of each part in a folder that was written; one row per part comes back."""
+        written = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])).parquet(f"{self.root}/{folder}")
+        nulls = [F.count_if(F.col(p).isNull()).alias(f"nulls_{i}") for i, p in enumerate(props)]
+        found = written.groupBy(PART).agg(F.count(F.lit(1)).alias("n_rows"), *nulls).collect()
+        return {str(r[PART]): {"rows": r["n_rows"], "nulls": {p: r[f"nulls_{i}"] for i, p in enumerate(props)}} for r in found}
 
     def _entry(self, kind: str, name: str, df: DataFrame) -> dict:
         """A label's table, written whole."""
@@ -298,15 +315,64 @@ class Store:
         return self._switch(base, {f"{kind}/{label}": {**self._compacted(entry, kind, label), "change": None}})
 
     def fetch(self, kind: str, label: str, keys: DataFrame, cols=()) -> DataFrame:
-        """The rows of a label whose keys are listed in ``keys``; only files of the parts of those keys are read."""
+        """The rows of a label whose keys are listed in ``keys``.
+
+        Only files of the parts of those keys are read. Their rows are in the order of the keys, so of these files only the pages
+        are read whose range holds one of few keys, or meets the range of many.
+        """
         base = self.current()
         entry, own = base.tables[f"{kind}/{label}"], self.space.label(kind, label)
         n_parts = entry["n_parts"]
         keys = keys.select(*[F.col(k).cast("bigint" if k == "_rank" else "string").alias(k) for k in own.key])
-        wanted, _, size = materialize_measured(keys.distinct(), "wanted")
+        wanted, n_keys, size = materialize_measured(keys.distinct(), "wanted")
         parts = wanted.agg(F.collect_set(part_of_key(own.key, n_parts))).first()[0]
         space = self._space({f"{kind}/{label}": entry}, {f"{kind}/{label}": parts})
-        return scan(space, kind, label, cols).join(join_side(wanted, size), own.key, "left_semi")
+        first = own.key[0]
+        if n_keys <= FEW_KEYS:
+            near = F.col(first).isin([r[0] for r in wanted.select(first).distinct().collect()])
+        else:
+            near = F.col(first).between(*wanted.agg(F.min(first), F.max(first)).first())
+        return scan(space, kind, label, cols).filter(near).join(join_side(wanted, size), own.key, "left_semi")
+
+    def _uncounted(self, entry: dict) -> set[int]:
+        """The parts whose rows are not those that were counted: a delta touches them, or a version from before counts wrote them."""
+        return {p for d in entry["deltas"] for p in d["parts"]} | {int(n) for n, p in entry["parts"].items() if "rows" not in p}
+
+    def profile(self, version: Version | None = None) -> DataFrame:
+        """What :func:`label_profile` says of a version, by default the newest, from the counts of its parts.
+
+        Only the parts that deltas touch are read.
+        """
+        tables = (version or self.current()).tables
+        counted, open_parts = [], {}
+        for key, entry in tables.items():
+            kind, name = key.split("/", 1)
+            unknown = self._uncounted(entry)
+            if unknown:
+                open_parts[key] = sorted(unknown)
+            known = [p for n, p in entry["parts"].items() if int(n) not in unknown]
+            n_rows = sum(p["rows"] for p in known)
+            for prop, kind_of in (entry["props"] or {None: None}).items():
+                counted.append((kind, name, prop, kind_of, n_rows, sum(p["nulls"][prop] for p in known) if prop else 0))
+        known = self.spark.createDataFrame(counted, PROFILE)
+        if not open_parts:
+            return known
+        read = label_profile(self._space({key: tables[key] for key in open_parts}, open_parts))
+        names = ["kind", "label", "property", "property_type"]
+        return known.unionByName(read).groupBy(*names).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_nulls").alias("n_nulls"))
+
+    def part_rows(self, kind: str, label: str) -> DataFrame:
+        """The rows of each part (from 0) that a label's newest version lies in; only parts that deltas touch are read."""
+        entry, own = self.current().tables[f"{kind}/{label}"], self.space.label(kind, label)
+        unknown = self._uncounted(entry)
+        known = [(n, entry["parts"].get(str(n), {"rows": 0})["rows"]) for n in range(entry["n_parts"]) if n not in unknown]
+        counted = self.spark.createDataFrame(known, "part int, n_rows bigint")
+        if not unknown:
+            return counted
+        rows = self._table(entry, own.key, sorted(unknown)).select(part_of_key(own.key, entry["n_parts"]).alias("part"))
+        asked = self.spark.createDataFrame([(n,) for n in sorted(unknown)], "part int")
+        found = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+        return counted.unionByName(asked.join(found, "part", "left").select("part", F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
 
     def clear_old(self, keep: int = 1) -> list[str]:
         """Remove versions but the newest ``keep``, and files that none of these names. Not while a writer is at work, as what it

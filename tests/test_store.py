@@ -1,9 +1,13 @@
+import re
+
+import pyarrow.parquet as pq
 import pytest
 
 from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space, VertexWrite
-from graphtables.operators.mutate import mutate_vertices
+from graphtables.operators.mutate import mutate_vertices, part_of_key
+from graphtables.sources.profile import label_profile
 from graphtables.sources.scan import scan
-from graphtables.sources.store import Store, Version, save, write_options
+from graphtables.sources.store import FEW_KEYS, Store, Version, save, write_options
 from tests.fixtures import rows
 
 TAG = Label("thing", VERTEX, {"name": "STRING"})
@@ -350,6 +354,78 @@ def test_a_fetch_reads_the_parts_of_its_keys(spark, tmp_path):
     assert len(got.inputFiles()) <= every / 2
 
 
+def ranges(path, column):
+    """First and last value of a column in each row group of the files below a folder, as their footers say."""
+    out = []
+    for file in sorted(path.rglob("*.parquet")):
+        meta = pq.read_metadata(file)
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        out.append([(s.min, s.max) for s in stats])
+    return out
+
+
+def test_files_tell_where_a_key_lies(spark, tmp_path):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "2048")
+    try:
+        store = filled(spark, tmp_path)
+    finally:
+        hadoop.unset("parquet.block.size")
+    folders = [tmp_path / "filled" / p["path"] for p in store.current().tables["edge/link"]["parts"].values()]
+    groups = [g for f in folders for g in ranges(f, "_srcId")]
+    assert max(map(len, groups)) > 1
+    for own in groups:
+        assert all(a[1] <= b[0] for a, b in zip(own, own[1:], strict=False))
+    keys = spark.createDataFrame([("3", "21", 0)], "_srcId string, _dstId string, _rank bigint")
+    pushed = store.fetch(EDGE, "link", keys)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^]]*(In|EqualTo)\(_srcId", pushed)
+    links = scan(store.read(), EDGE, "link")
+    many = links.select("_srcId", "_dstId", "_rank").orderBy("_srcId", "_dstId").limit(FEW_KEYS + 1)
+    got = store.fetch(EDGE, "link", many, ["w"])
+    assert "GreaterThanOrEqual(_srcId" in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == rows(links.join(many, ["_srcId", "_dstId", "_rank"], "left_semi").select(*got.columns))
+    none = store.fetch(EDGE, "link", keys.limit(0))
+    assert rows(none) == []
+
+
+def test_a_profile_reads_no_data_but_parts_with_deltas(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    assert "Scan parquet" not in store.profile()._jdf.queryExecution().executedPlan().toString()
+    assert rows(store.profile()) == rows(label_profile(store.read()))
+    store.apply(EDGE, "link", spark.createDataFrame([("3", "21", None)], "a string, b string, w double"), EdgeWrite("a", "b"))
+    store.apply(VERTEX, "wide", spark.createDataFrame([("5",)], "id string"), VertexWrite("id", mode="delete"))
+    assert store.current().tables["edge/link"]["deltas"] and store.current().tables["vertex/wide"]["deltas"]
+    assert rows(store.profile()) == rows(label_profile(store.read()))
+    assert 0 < len(store.profile().inputFiles()) < len(scan(store.read(), EDGE, "link").inputFiles())
+    store.compact(EDGE, "link")
+    store.compact(VERTEX, "wide")
+    assert "Scan parquet" not in store.profile()._jdf.queryExecution().executedPlan().toString()
+    assert rows(store.profile()) == rows(label_profile(store.read()))
+
+
+def test_a_profile_without_counts_or_rows(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    old = store.current()
+    for entry in old.tables.values():  # as a version from before parts were counted
+        for part in entry["parts"].values():
+            del part["rows"], part["nulls"]
+    assert rows(store.profile(old)) == rows(label_profile(store.read()))
+    bare = Space("bare").with_table(Label("dot", VERTEX, {}), spark.createDataFrame([], "_vertexId string"))
+    empty = Store(spark, str(tmp_path / "bare"), bare)
+    assert rows(empty.profile()) == []
+    empty.save_space(bare)
+    assert rows(empty.profile()) == rows(label_profile(empty.read())) == [("vertex", "dot", None, None, 0, 0)]
+
+
+def test_rows_of_parts_are_those_of_the_layout(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    store.apply(EDGE, "link", spark.createDataFrame([("new", "21", 1.0)], "a string, b string, w double"), EdgeWrite("a", "b"))
+    key = LINK.key
+    held = {r[0]: r[1] for r in scan(store.read(), EDGE, "link").groupBy(part_of_key(key, 8)).count().collect()}
+    assert {r[0]: r[1] for r in store.part_rows(EDGE, "link").collect()} == {n: held.get(n, 0) for n in range(8)}
+
+
 def test_old_versions_are_cleared(spark, tmp_path):
     store = filled(spark, tmp_path, 200)
     ch = spark.createDataFrame([("5", "n", 0)], "id string, name string, size long")
