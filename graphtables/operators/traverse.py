@@ -196,7 +196,8 @@ def all_paths(
         if is_small(useful.sparkSession, path_size):
             open_paths = F.broadcast(open_paths)
         else:
-            step = join_side(step, edge_size)
+            # the edges of this hop alone: few ones leave the paths where they are, however many of these meet in one vertex
+            step = join_side(step, min(edge_size, size_of(step, ["at", "edge"])))
         longer = (
             open_paths.join(step, "at")
             .filter(~F.array_contains("path", F.col("edge")))

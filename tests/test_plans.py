@@ -9,7 +9,7 @@ from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space, VertexWrite
 from graphtables.operators.adjacency import SALTS, adjacency, beside
 from graphtables.operators.export import graph_triplets
 from graphtables.operators.mutate import latest_per_key, mutate_edges, mutate_vertices
-from graphtables.operators.traverse import _neighbours, match_edges_from_tag, subgraph_edges
+from graphtables.operators.traverse import _neighbours, all_paths, match_edges_from_tag, subgraph_edges
 from graphtables.plans import registry
 from graphtables.plans.demo import demo_space
 from graphtables.session import join_side, materialize, measure
@@ -190,3 +190,19 @@ def test_hot_key_in_the_changes(spark, shuffled_joins):
     table = mutate_edges(space, "e", changes, write).table(EDGE, "e")
     assert table.count() == 20_000 + 20_000 + 1
     assert scan_edges(space, "e").count() == 20_000
+
+
+def test_few_edges_of_a_hop_leave_the_paths_where_they_are(spark):
+    """Many paths meet in one vertex, and few edges lead on from it."""
+    wide = spark.range(0, 3000, 1, 2).selectExpr("'m' || id AS _srcId", "'hub' AS _dstId", "0L AS _rank")
+    on = spark.createDataFrame([("hub", "end", 0)], "_srcId string, _dstId string, _rank bigint")
+    space = Space("s").with_table(Label("wide", EDGE), wide).with_table(Label("on", EDGE), on)
+    starts = wide.selectExpr("_srcId AS vid")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10000")
+    try:
+        paths = all_paths(space, starts, spark.createDataFrame([("end",)], "vid string"), 2)
+        text = plan(paths)
+        assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text, text
+        assert paths.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
