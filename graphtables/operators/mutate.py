@@ -52,12 +52,14 @@ class Mutation:
         return self.tables[(kind, label)]
 
 
-def latest_per_key(df: DataFrame, key: list[str], order_by=(), first: bool = False) -> DataFrame:
+def latest_per_key(df: DataFrame, key: list[str], order_by=(), first: bool = False, few: bool = False) -> DataFrame:
     """One row per key: the last (or first) by ``order_by``, ties broken by the whole row.
 
     ``row_number() = 1`` lets Spark keep one row per key in each map task before the shuffle,
-    so a key that holds a large share of all rows does not reach one task whole.
+    so a key that holds a large share of all rows does not reach one task whole. That sorts all that a map task
+    reads. Where a key has ``few`` rows by construction (one per version) they are dealt by key first, and sorted once.
     """
+    df = df.repartition(*key) if few else df
     ties = [c for c in df.columns if c not in key and c not in order_by]
     order = [
         F.col(c).asc_nulls_first() if first else F.col(c).desc_nulls_last()
@@ -336,6 +338,20 @@ def merged(current: DataFrame, changed: DataFrame, key: list[str], size: int) ->
     return kept.unionByName(changed.filter(~F.col(GONE)).select(*current.columns))
 
 
+def newest(current: DataFrame, changed: DataFrame, key: list[str], seq: str, by=()) -> DataFrame:
+    """``current`` with many changes applied: rows of one key differ in ``seq`` (one row per key and number), and the last one counts.
+
+    All rows are dealt by key once and sorted once, and no row is kept back: nothing is grown by a join of two sorted sides, and the
+    changes are read once. Keys that ``current`` repeats or lacks stay as they are. ``by`` are columns that hang on the key; rows come in
+    the order of ``by`` and the key.
+    """
+    usable = changed.filter(" AND ".join(f"{k} IS NOT NULL" for k in key))
+    first = current.withColumns({GONE: F.lit(False), seq: F.lit(0).cast("bigint")})
+    late = F.rank().over(Window.partitionBy(*by, *key).orderBy(F.col(seq).desc()))
+    rows = first.unionByName(usable).repartition(*key).withColumn("_late", late).filter(f"_late = 1 AND NOT {GONE}")
+    return rows.select(*current.columns)
+
+
 def incident(edges: DataFrame, vertices: DataFrame, size: int) -> DataFrame:
     """The keys of the edges that start or end at one of ``vertices`` (column ``_vertexId``), each once."""
     ends = [

@@ -18,16 +18,16 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def label_profile(space: Space) -> DataFrame:
+def label_profile(space: Space, n_parts: int | None = None) -> DataFrame:
     """Per label and property: the type, the row count and the null count.
 
-    One aggregate per label table; only counts leave the map side.
+    One aggregate per label table; only counts leave the map side. With ``n_parts`` a row for each part of the keys that has rows.
     """
     profiles = []
     for (kind, name), label in space.labels.items():
         df = space.frame(kind, name)
         counts = [F.count_if(F.col(p).isNull()).alias(f"nulls_{i}") for i, p in enumerate(label.props)]
-        totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *counts)
+        totals = (df.groupBy(F.pmod(F.hash(*label.key), F.lit(n_parts))) if n_parts else df).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
         entries = [
             F.struct(
                 F.lit(p).alias("property"),

@@ -36,10 +36,11 @@ from graphtables.operators.mutate import (
     merged,
     mutate_edges,
     mutate_vertices,
+    newest,
     part_of_key,
     settled_feed,
 )
-from graphtables.session import ROW_BYTES, join_side, materialize_measured, size_of
+from graphtables.session import ROW_BYTES, is_small, join_side, materialize_measured, size_of
 from graphtables.sources.profile import PROFILE, label_profile
 from graphtables.sources.scan import scan
 
@@ -124,9 +125,13 @@ class Store:
         return self._fs().getContentSummary(self._path(path)).getLength()
 
     def _write_parts(self, kind: str, name: str, df: DataFrame, key: list[str], n_parts: int) -> dict[str, dict]:
-        """Rows as parts in a new folder: number of the part -> its path below the root, its bytes, rows and nulls of each property."""
+        """Rows as parts in a new folder: number of the part -> its path below the root, its bytes, rows and nulls of each property.
+
+        Rows that come with their part, in the order of part and key, are not sorted again.
+        """
         folder = f"{kind}/{name}/{uuid.uuid4().hex}"
-        dealt = df.withColumn(PART, part_of_key(key, n_parts))
+        dealt = df if PART in df.columns else df.withColumn(PART, part_of_key(key, n_parts))
+        df = dealt.drop(PART)
         if int(self.spark.conf.get("spark.sql.shuffle.partitions")) % n_parts:
             dealt = dealt.hint("rebalance", PART)  # tasks would hold rows of all parts, each in a file of its own
         # the writer sorts by part anyway, and takes a longer order as it is
@@ -157,26 +162,34 @@ class Store:
         paths = [f"{self.root}/{p['path']}" for n, p in entry["parts"].items() if parts is None or int(n) in parts]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def _deltas(self, entry: dict, key: list[str], parts=None) -> tuple[DataFrame, int] | None:
-        """The deltas of a table as one, the last row of each key, and a bound of the bytes of their keys."""
+    def _deltas(self, entry: dict, key: list[str], parts=None) -> tuple[DataFrame, int, int] | None:
+        """The rows of a table's deltas with their numbers, a bound of the bytes of their keys, and how many deltas they are."""
         some = [d for d in entry["deltas"] if parts is None or set(parts) & set(d["parts"])]
         if not some:
             return None
         schema = T.StructType.fromJson(json.loads(entry["schema"])).add(GONE, T.BooleanType()).add(SEQ, T.LongType())
         rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/{d['path']}" for d in some])
-        if parts is not None:
+        if parts is not None and any(set(d["parts"]) - set(parts) for d in some):
             rows = rows.filter(part_of_key(key, entry["n_parts"]).isin(list(parts)))
-        if len(some) > 1:
-            rows = latest_per_key(rows, key, [SEQ])
-        return rows.drop(SEQ), sum(d["key_bytes"] for d in some)
+        return rows, sum(d["key_bytes"] for d in some), len(some)
 
-    def _table(self, entry: dict, key: list[str], parts=None) -> DataFrame:
-        """The rows of a table, or of some of its parts."""
+    def _table(self, entry: dict, key: list[str], parts=None, with_part: bool = False) -> DataFrame:
+        """The rows of a table, or of some of its parts; ``with_part`` asks for their part, and for the order in which they are written."""
         base, later = self._base(entry, parts), self._deltas(entry, key, parts)
-        return base if later is None else merged(base, later[0], key, later[1])
+        if with_part:
+            base = base.withColumn(PART, part_of_key(key, entry["n_parts"]))
+        if later is None:
+            return base
+        rows, size, n = later
+        if with_part:
+            rows = rows.withColumn(PART, part_of_key(key, entry["n_parts"]))
+        if not is_small(self.spark, size):
+            return newest(base, rows, key, SEQ, [PART] if with_part else [])
+        return merged(base, (latest_per_key(rows, key, [SEQ]) if n > 1 else rows).drop(SEQ), key, size)
 
-    def _with_delta(self, entry: dict, kind: str, name: str, rows: DataFrame, size: int) -> dict:
-        """A table's entry with a delta more. ``size`` bounds the bytes of the rows that lead to it.
+    def _with_delta(self, entry: dict, kind: str, name: str, rows: DataFrame, size: int, dealt: bool = False) -> dict:
+        """A table's entry with a delta more. ``size`` bounds the bytes of the rows that lead to it; ``dealt`` rows come out of a
+        shuffle by key, whose tasks are as many as their bytes ask for.
 
         A table without rows takes them as its parts, and a change that is larger than the table is merged as it is written. Deltas
         that are large against the table by now are merged into the parts that they touch.
@@ -192,8 +205,8 @@ class Store:
         seq = 1 + max([d["seq"] for d in entry["deltas"]], default=0)
         folder = f"{kind}/{name}/delta-{uuid.uuid4().hex}"
         # few rows: as many files as bytes ask for, not as tasks made them
-        packed = rows.withColumn(SEQ, F.lit(seq).cast("bigint")).hint("rebalance")
-        packed.write.parquet(f"{self.root}/{folder}")
+        packed = rows.withColumn(SEQ, F.lit(seq).cast("bigint"))
+        (packed if dealt else packed.hint("rebalance")).write.parquet(f"{self.root}/{folder}")
         written = self.spark.read.schema(packed.schema).parquet(f"{self.root}/{folder}").select(*key)
         parts = written.agg(F.sort_array(F.collect_set(part_of_key(key, n_parts)))).first()[0]
         if not parts:
@@ -209,7 +222,7 @@ class Store:
         if not touched:
             return entry
         key = self.space.label(kind, name).key
-        new = self._write_parts(kind, name, self._table(entry, key, touched), key, entry["n_parts"])
+        new = self._write_parts(kind, name, self._table(entry, key, touched, with_part=True), key, entry["n_parts"])
         stay = {n: p for n, p in entry["parts"].items() if int(n) not in touched}
         return {**entry, "parts": {**stay, **new}, "deltas": []}
 
@@ -283,7 +296,7 @@ class Store:
             entry = tables[f"{kind}/{label}"]
             feed = settled_feed(space, kind, label, changes, how, entry["n_parts"])
             rows, rejects = delta(scan(self._space({f"{kind}/{label}": entry}, {f"{kind}/{label}": feed.parts}), kind, label), feed)
-            return {f"{kind}/{label}": self._with_delta(entry, kind, label, rows, feed.size)}, rejects
+            return {f"{kind}/{label}": self._with_delta(entry, kind, label, rows, feed.size, dealt=how.mode != "update")}, rejects
         # vertices are deleted from all labels
         feed = settled_feed(space, VERTEX, None, changes, how)
         gone, _, size = materialize_measured(feed.keys(), "gone")
@@ -357,7 +370,7 @@ class Store:
         known = self.spark.createDataFrame(counted, PROFILE)
         if not open_parts:
             return known
-        read = label_profile(self._space({key: tables[key] for key in open_parts}, open_parts))
+        read = label_profile(self._space({key: tables[key] for key in open_parts}, open_parts), self.space.n_parts)
         names = ["kind", "label", "property", "property_type"]
         return known.unionByName(read).groupBy(*names).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_nulls").alias("n_nulls"))
 

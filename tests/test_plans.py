@@ -14,6 +14,7 @@ from graphtables.plans import registry
 from graphtables.plans.demo import demo_space
 from graphtables.session import join_side, materialize, measure
 from graphtables.sources.scan import edge_keys, scan_edges, scan_vertices
+from graphtables.sources.store import Store
 
 
 def plan(df) -> str:
@@ -192,6 +193,46 @@ def test_hot_key_in_the_changes(spark, shuffled_joins):
     assert scan_edges(space, "e").count() == 20_000
 
 
+def test_few_rows_of_a_key_are_sorted_once(spark):
+    df = spark.range(100).selectExpr("id % 50 AS k", "id AS v")
+    last = latest_per_key(df, ["k"], ["v"], few=True)
+    assert plan(last).count("Sort ") == 1 and plan(last).count("Exchange") == 1
+    assert sorted(map(tuple, last.collect())) == [(k, k + 50) for k in range(50)]
+
+
+def test_many_changes_of_a_store_are_read_and_shuffled_once(spark, tmp_path, shuffled_joins):
+    label = Label("t", VERTEX, {"v": "INT64"})
+    held = spark.createDataFrame([("0", 0), ("0", 1), (None, 2), ("1", 3), ("2", 4)], "_vertexId string, v bigint")
+    store = Store(spark, str(tmp_path / "s"), Space("s").with_table(label, held), delta_share=float("inf"))
+    store.save_space(store.space)
+    store.apply(VERTEX, "t", spark.createDataFrame([("1", 30), ("3", 50)], "id string, v bigint"), VertexWrite("id"))
+    store.apply(VERTEX, "t", spark.createDataFrame([("3", 60), ("2", 70)], "id string, v bigint"), VertexWrite("id", mode="update"))
+    store.apply(VERTEX, "t", spark.createDataFrame([("2",)], "id string"), VertexWrite("id", mode="delete"))
+    # repeated and missing keys that were written whole stay
+    after = [(None, 2), ("0", 0), ("0", 1), ("1", 30), ("3", 60)]
+    table = scan_vertices(store.read(), "t")
+    text = plan(table)
+    assert "Join" not in text and text.count("Exchange") == 1 and text.count("Scan parquet") == 2, text
+    assert sorted(map(tuple, table.collect()), key=str) == sorted(after, key=str)
+    store.compact(VERTEX, "t")
+    assert sorted(map(tuple, scan_vertices(store.read(), "t").collect()), key=str) == sorted(after, key=str)
+    assert store.profile().select("n_rows", "n_nulls").collect() == [(5, 0)]
+
+
+def test_changes_that_come_dealt_are_not_dealt_again(spark, tmp_path, monkeypatch):
+    label = Label("t", VERTEX, {"v": "INT64"})
+    space = Space("s").with_table(label, spark.createDataFrame([("0", 0), ("1", 1)], "_vertexId string, v bigint"))
+    store = Store(spark, str(tmp_path / "s"), space, delta_share=float("inf"))
+    store.save_space(space)
+    hints = []  # of what to deal by; parts are dealt by their number
+    hint = type(space.frame(VERTEX, "t")).hint
+    monkeypatch.setattr(type(space.frame(VERTEX, "t")), "hint", lambda df, *how: hints.append(how) or hint(df, *how))
+    store.apply(VERTEX, "t", spark.createDataFrame([("1", 5)], "id string, v bigint"), VertexWrite("id"))
+    store.apply(VERTEX, "t", spark.createDataFrame([("0",)], "id string"), VertexWrite("id", mode="delete"))
+    assert ("rebalance",) not in hints
+    assert [tuple(r) for r in scan_vertices(store.read(), "t").collect()] == [("1", 5)]
+
+
 def test_few_edges_of_a_hop_leave_the_paths_where_they_are(spark):
     """Many paths meet in one vertex, and few edges lead on from it."""
     wide = spark.range(0, 3000, 1, 2).selectExpr("'m' || id AS _srcId", "'hub' AS _dstId", "0L AS _rank")
