@@ -13,17 +13,25 @@ from graphtables.sources.scan import scan
 from graphtables.sources.store import Store
 from graphtables.streaming import mutate_from_stream, stream_changes, stream_edges
 
+#: Batches in which the rows of a stream arrive.
 N_FILES = 4
+#: Rows of an arriving file, about: a batch is as many files as its rows ask for, since one file keeps few tasks busy.
+FILE_ROWS = 250_000
+
+
+def files_per_batch(rows) -> int:
+    return max(1, -(-rows.count() // (N_FILES * FILE_ROWS)))
 
 
 def stream_scan_edges(spark, sf_dir):
-    """Events that arrive as files, read as edges in micro-batches of one file each."""
+    """Events that arrive as files, read as edges in micro-batches."""
     space = demo_space(spark, sf_dir, "did")
     arrivals = scratch_path(spark, "arrivals")
     rows = space.frame(EDGE, "did")
-    rows.repartition(N_FILES, *EDGE_KEY).write.parquet(arrivals)
+    per_batch = files_per_batch(rows)
+    rows.repartition(N_FILES * per_batch, *EDGE_KEY).write.parquet(arrivals)
     stream = stream_edges(
-        spark, arrivals, space.label(EDGE, "did"), ["ts", "value"], schema=rows.schema, files_per_batch=1
+        spark, arrivals, space.label(EDGE, "did"), ["ts", "value"], schema=rows.schema, files_per_batch=per_batch
     )
     out = scratch_path(spark, "out")
     query = (
@@ -44,9 +52,10 @@ def stream_insert_edges(spark, sf_dir):
     arrivals = scratch_path(spark, "arrivals")
     feed = mutations.line_feed(spark, sf_dir)
     # All rows of one key arrive in one file, so that the last one does not hang on the files' order.
-    feed.repartition(N_FILES, *mutations.LINE_ID).write.parquet(arrivals)
+    per_batch = files_per_batch(feed)
+    feed.repartition(N_FILES * per_batch, *mutations.LINE_ID).write.parquet(arrivals)
     changes = (
-        spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+        spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", per_batch).parquet(arrivals)
     )
     how = EdgeWrite(*mutations.LINE_ID, order_by=tuple(CONTAINS_ORDER))
     query = (
@@ -68,8 +77,9 @@ def stream_latest_edges(spark, sf_dir):
     arrivals = scratch_path(spark, "arrivals")
     feed = mutations.line_feed(spark, sf_dir)
     # files by the columns that order the rows, last ones first
-    feed.repartitionByRange(N_FILES, *[F.col(c).desc() for c in CONTAINS_ORDER]).write.parquet(arrivals)
-    changes = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    per_batch = files_per_batch(feed)
+    feed.repartitionByRange(N_FILES * per_batch, *[F.col(c).desc() for c in CONTAINS_ORDER]).write.parquet(arrivals)
+    changes = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", per_batch).parquet(arrivals)
     how = EdgeWrite(*mutations.LINE_ID, order_by=tuple(CONTAINS_ORDER))
     query = (
         mutate_from_stream(store, changes, "lines", EDGE, "contains", how, across_batches=True)
@@ -93,7 +103,7 @@ def stream_stored_edges(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
-    last = latest_per_key(spark.read.parquet(out), EDGE_KEY, ["_version"])
+    last = latest_per_key(spark.read.parquet(out), EDGE_KEY, ["_version"], few=True)  # a version has a key once
     return last.filter("NOT _gone").select(*scan(store.read(), EDGE, "contains").columns)
 
 
