@@ -10,6 +10,16 @@ from graphtables.model import VERTEX
 from graphtables.operators.mutate import edge_ids, vertex_ids
 from graphtables.sources.store import Store
 
+_STORE = "spark.sql.streaming.stateStore."
+#: How the state of a stream is kept where the session does not say: on the executors' disks, as one row per key outgrows their
+#: heaps; what is in memory is bounded for an executor, a batch adds to a log, and rows are not looked up to be counted.
+STATE = {
+    f"{_STORE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}rocksdb.trackTotalNumberOfRows": "false",
+}
+
 
 def latest_changes(changes: DataFrame, kind: str, vid_type: str, how) -> DataFrame:
     """Of the rows of a key that a stream has brought so far the last by ``how.order_by``.
@@ -46,7 +56,8 @@ def mutate_from_stream(
     folds, for example once after ``availableNow``.
 
     A later batch wins over an earlier one. With ``across_batches`` the order of ``how.order_by`` holds
-    over all batches instead (see :func:`latest_changes`), for a state of one row per key.
+    over all batches instead (see :func:`latest_changes`), for a state of one row per key. The settings of STATE that the
+    session does not have are made in it, as the query takes them from there when it starts.
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
@@ -57,6 +68,9 @@ def mutate_from_stream(
             store.fold(stream, kind, label, how)
 
     if across_batches:
+        for name, value in STATE.items():
+            if store.spark.conf.get(name, None) is None:
+                store.spark.conf.set(name, value)
         changes = latest_changes(changes, kind, store.space.vid_type, how)
         return changes.writeStream.outputMode("update").foreachBatch(take)
     return changes.writeStream.foreachBatch(take)

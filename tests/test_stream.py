@@ -2,6 +2,7 @@ import pytest
 
 from graphtables.model import EDGE, VERTEX, EdgeWrite, Label, Space
 from graphtables.operators.mutate import mutate_edges
+from graphtables.plans import streams
 from graphtables.sources.scan import scan, scan_edges
 from graphtables.sources.store import Store
 from graphtables.streaming import mutate_from_stream, stream_changes, stream_edges, stream_vertices
@@ -149,3 +150,22 @@ def test_changes_of_a_stored_label_as_a_stream(spark, space, tmp_path):
     assert seen[1:] == [[(2, False, False, "1", 7.0)], [(3, False, True, "2", None)]]
     follow()
     assert len(seen) == 3
+
+
+def test_batches_are_as_many_files_as_their_rows_ask_for(spark, sf_dir, monkeypatch):
+    whole = {name: rows(streams.QUERIES[name](spark, sf_dir)) for name in ("stream_insert_edges", "stream_latest_edges", "stream_scan_edges")}
+    per_batch = []
+    count = streams.files_per_batch
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    monkeypatch.setattr(streams, "files_per_batch", lambda df: per_batch.append(count(df)) or per_batch[-1])
+    for name, expected in whole.items():
+        assert rows(streams.QUERIES[name](spark, sf_dir)) == expected
+    assert len(per_batch) == 3 and min(per_batch) > 1
+
+
+def test_state_over_batches_is_not_held_in_the_heap(spark, space, tmp_path):
+    how = EdgeWrite("a", "b", order_by=("seq",))
+    store = Store(spark, str(tmp_path / "space"), space)
+    changes = spark.readStream.schema(SCHEMA).parquet(arrivals(spark, tmp_path))
+    mutate_from_stream(store, changes, "feed", EDGE, "link", how, across_batches=True)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
